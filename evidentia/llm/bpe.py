@@ -19,10 +19,12 @@ from evidentia.llm.words import WordVocabulary, chunks
 #: Words in the lexicon; the rest are merged when they are met.
 LEXICON_WORDS = 65_536
 #: Words a worker remembers or counts before it starts afresh; bounds memory, never results.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 500_000
+#: Documents whose new words are looked up and merged together.
+TOGETHER = 512
 
 
-class _Memo(dict):
+class Memo(dict):
     """chunk -> little-endian ids; its words come from the lexicon, or from exact merges."""
 
     def __init__(self, vocabulary: WordVocabulary, lexicon: Lexicon | None = None):
@@ -40,17 +42,17 @@ class _Memo(dict):
         words = list({w for pieces in new.values() for w in pieces})
         ids = {w: i.to_bytes(4, "little") for w, i in self.vocabulary.special.items()}
         numbers = self.lexicon.numbers(words).tolist() if self.lexicon and words else [-1] * len(words)
+        unseen = []
         for word, number in zip(words, numbers):
-            if word not in ids:
-                ids[word] = self.lexicon.ids(number).tobytes() if number >= 0 else pack_ids(self.vocabulary.merge(word))
+            if number >= 0:
+                ids[word] = self.lexicon.ids(number).tobytes()
+            elif word not in ids:
+                unseen.append(word)
+        ids.update(zip(unseen, self.vocabulary.merge_many(unseen)))
         for chunk, pieces in new.items():
             self[chunk] = b"".join([ids[w] for w in pieces])
 
 
-def pack_ids(ids: list[int]) -> bytes:
-    return b"".join(i.to_bytes(4, "little") for i in ids)
-
-
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
@@ -73,7 +75,7 @@ def frequent_words(docs: DataFrame, tokenizer_path: str, text: str = "text", lim
         for batch in batches:
             for value in batch.column(0):
                 seen.update(chunks(value.as_py()))
-                if len(seen) > MEMO_WORDS:
+                if len(seen) > MEMO_WORDS // 2:
                     yield flush()
         yield flush()
 
@@ -104,10 +106,10 @@ def encode(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = WordVocabulary(tokenizer_path)
-        memo = _Memo(vocabulary, Lexicon(SparkFiles.get(name)))
+        memo = Memo(vocabulary, Lexicon(SparkFiles.get(name)))
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
+            for at in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(at, TOGETHER)
                 split = [chunks(t) for t in part.column(1).to_pylist()]
                 memo.learn(set().union(*split))
                 ids = [b"".join(map(memo.__getitem__, c)) for c in split]

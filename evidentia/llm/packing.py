@@ -10,13 +10,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidentia.llm.bpe import MEMO_WORDS
-from evidentia.llm.words import chunks
+from evidentia.llm.bpe import TOGETHER, Memo
+from evidentia.llm.words import WordVocabulary, chunks
 from evidentia.session import cut
 
 SEQUENCE = 2048
 #: Tokens per length class; a power of two. The histogram has SEQUENCE / CLASS classes, whatever the input.
 CLASS = 8
+#: The linear program stops within this share of the lower bound that the tokens alone give.
+GAP = 0.001
 #: Pieces per ranking group; groups are salted so that one length class never meets in one task.
 RANKED_TOGETHER = 5_000
 
@@ -26,13 +28,16 @@ def knapsack(values: np.ndarray) -> tuple[float, np.ndarray]:
     n = len(values)
     best, choice = np.zeros(n + 1), np.zeros(n + 1, dtype=np.int64)
     for room in range(1, n + 1):
-        got = best[room - 1 :: -1] + values[:room] if room < n else best[n - 1 :: -1] + values
+        got = best[room - 1 :: -1] + values[:room]
         at = int(np.argmax(got))
-        best[room], choice[room] = got[at], at + 1
+        best[room] = best[room - 1]
+        if got[at] > best[room] + 1e-12:  # else a unit stays empty: worthless items must not slip in
+            best[room], choice[room] = got[at], at + 1
     counts, room = np.zeros(n, dtype=np.int64), n
-    while room > 0 and choice[room]:
-        counts[choice[room] - 1] += 1
-        room -= choice[room]
+    while room > 0:
+        if choice[room]:
+            counts[choice[room] - 1] += 1
+        room -= max(1, choice[room])
     return float(best[n]), counts
 
 
@@ -40,7 +45,7 @@ def solve_patterns(demand: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """(sequences, items per class) that use every item once, from the linear program's rounded optimum.
 
     demand[k] counts items of k+1 units; a sequence holds len(demand) units. Columns enter while the priced
-    knapsack beats 1; every basis met on the way is feasible, so an early numeric stop costs padding only.
+    knapsack beats 1, until the optimum or GAP; every basis met on the way is feasible, so an early numeric stop costs padding only.
     """
     units = len(demand)
     have = np.flatnonzero(demand > 0)
@@ -51,7 +56,10 @@ def solve_patterns(demand: np.ndarray) -> list[tuple[int, np.ndarray]]:
     columns = np.diag(fit.astype(float))
     inverse = np.diag(1.0 / fit)
     amount = demand[have] / fit
+    least = demand @ np.arange(1, units + 1) / units  # no packing has fewer sequences
     for step in range(40 * m):
+        if amount.sum() <= least * (1 + GAP):
+            break
         prices = np.zeros(units)
         prices[have] = np.ones(m) @ inverse
         value, counts = knapsack(np.maximum(prices, 0.0))
@@ -105,29 +113,17 @@ def solve_patterns(demand: np.ndarray) -> list[tuple[int, np.ndarray]]:
 def pieces_of(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", end_id: int = 1, keep_ids: bool = False) -> DataFrame:
     """Cut every document's ids and the end id into full sequences and one remainder.
 
-    (key, start, length, ids_crc32, doc_tokens[, ids]); ids come from the tokenizers library, asked once per new chunk of text.
+    (key, start, length, ids_crc32, doc_tokens[, ids]). The ids are the tokenizer's own; a worker keeps those of recent chunks.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        library = Tokenizer.from_file(tokenizer_path)
-        library.no_truncation()
-        library.no_padding()
-        memo: dict[str, bytes] = {}
+        memo = Memo(WordVocabulary(tokenizer_path))
         end = end_id.to_bytes(4, "little")
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
+            for at in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(at, TOGETHER)
                 split = [chunks(t) for t in part.column(1).to_pylist()]
-                if len(memo) > MEMO_WORDS:
-                    memo.clear()
-                new = [c for c in set().union(*split) if c not in memo]
-                for chunk, got in zip(new, library.encode_batch(new, add_special_tokens=False)):
-                    memo[chunk] = np.array(got.ids, dtype="<u4").tobytes()
+                memo.learn(set().union(*split))
                 rows: list[list] = [[], [], [], [], [], []]
                 for k, chunks_ in enumerate(split):
                     ids = b"".join(map(memo.__getitem__, chunks_)) + end

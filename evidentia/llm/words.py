@@ -9,6 +9,8 @@ import sys
 import unicodedata
 from functools import cached_property, lru_cache
 
+import numpy as np
+
 #: White space of the tokenizer's regular expressions (the Unicode White_Space property).
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -136,6 +138,75 @@ class WordVocabulary:
         ids = [self.inner[b] for b in raw[:-1]] + [self.final[raw[-1]]]
         return self._merge_short(ids) if len(ids) <= 32 else self._merge_long(ids)
 
+    def merge_many(self, words: list[str]) -> list[bytes]:
+        """Exact merges of many words side by side, as little-endian unsigned 32-bit ids.
+
+        Words of one byte length form a matrix; every step merges each word's lowest-ranked, leftmost pair.
+        """
+        out: list[bytes] = [b""] * len(words)
+        raw = [w.encode("utf-8") for w in words]
+        groups: dict[int, list[int]] = {}
+        for k, r in enumerate(raw):
+            if len(r) > 48:
+                out[k] = np.array(self.merge(words[k]), dtype="<u4").tobytes()
+            elif r:
+                groups.setdefault(len(r), []).append(k)
+        inner, final = np.array(self.inner, dtype=np.int64), np.array(self.final, dtype=np.int64)
+        for length, members in groups.items():
+            codes = np.frombuffer(b"".join([raw[k] for k in members]), dtype=np.uint8).reshape(-1, length)
+            ids = inner[codes]
+            ids[:, -1] = final[codes[:, -1]]
+            sizes = np.full(len(ids), length)
+            if length > 1:
+                self._merge_rows(ids, sizes)
+            flat, ends = ids[np.arange(length) < sizes[:, None]].astype("<u4").tobytes(), np.cumsum(sizes) * 4
+            for k, a, b in zip(members, (ends - 4 * sizes).tolist(), ends.tolist()):
+                out[k] = flat[a:b]
+        return out
+
+    def _rank_many(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys, ranks = self._pair_table
+        wanted = left * len(self.tokens) + right
+        at = np.searchsorted(keys, wanted)
+        at[at == len(keys)] = 0
+        return np.where(keys[at] == wanted, ranks[at], len(self.made))
+
+    @cached_property
+    def _pair_table(self) -> tuple[np.ndarray, np.ndarray]:
+        keys = np.array([a * len(self.tokens) + b for a, b in self.ranks], dtype=np.int64)
+        order = np.argsort(keys)
+        return keys[order], np.array(list(self.ranks.values()), dtype=np.int64)[order]
+
+    def _merge_rows(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        none, made = len(self.made), np.array(self.made, dtype=np.int64)
+        rows = np.arange(len(ids))
+        own, ranks = ids.copy(), self._rank_many(ids[:, :-1], ids[:, 1:])
+        while True:
+            at = ranks.argmin(axis=1)
+            best = ranks[np.arange(len(rows)), at]
+            live = best < none
+            if not live.all():
+                ids[rows[~live], : own.shape[1]] = own[~live]
+                rows, own, ranks, at, best = rows[live], own[live], ranks[live], at[live], best[live]
+            if not len(rows):
+                return
+            here = np.arange(len(rows))
+            own[here, at] = made[best]
+            shift = np.arange(own.shape[1] - 1)
+            own = np.take_along_axis(own, shift + (shift > at[:, None]), axis=1)
+            sizes[rows] -= 1
+            if own.shape[1] == 1:
+                ids[rows, :1] = own
+                return
+            width = own.shape[1] - 1
+            shift = np.arange(width)
+            ranks = np.take_along_axis(ranks, shift + (shift >= at[:, None]), axis=1)
+            # a merge changes the pairs on both sides of the new id
+            has = np.flatnonzero(at > 0)
+            ranks[has, at[has] - 1] = self._rank_many(own[has, at[has] - 1], own[has, at[has]])
+            has = np.flatnonzero(at < width)
+            ranks[has, at[has]] = self._rank_many(own[has, at[has]], own[has, at[has] + 1])
+
     def _merge_short(self, ids: list[int]) -> list[int]:
         rank_of, made, none = self.ranks.get, self.made, len(self.made)
         ranks = [rank_of(p, none) for p in zip(ids, ids[1:])]
