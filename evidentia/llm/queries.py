@@ -32,9 +32,25 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from evidentia.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from evidentia.llm.lattice import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_bpe": op5_bpe,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLES: dict[str, str] = {}
