@@ -18,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from evidentia.llm.topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from evidentia.llm.packing import pack
 
@@ -38,6 +44,18 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from evidentia.llm.language import predict
+
+    return predict(table(spark, sf_dir, "documents"))
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from evidentia.llm.chat import events_of, format_events, with_probe
+
+    return format_events(events_of(with_probe(spark, table(spark, sf_dir, "conversations"))))
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -47,9 +65,12 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_top_k": op2_top_k,
     "op3_packing": op3_packing,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_bpe": op5_bpe,
+    "op7_language": op7_language,
+    "op9_chat": op9_chat,
     "op10_lm_scoring": op10_lm_scoring,
 }
 
