@@ -18,8 +18,8 @@ from evidentia.llm.words import WordVocabulary, chunks
 
 #: Words in the lexicon; the rest are merged when they are met.
 LEXICON_WORDS = 65_536
-#: Words a worker remembers or counts before it starts afresh; bounds memory, never results.
-MEMO_WORDS = 500_000
+#: Chunks and words a worker remembers or counts before it starts afresh; bounds memory, never results.
+MEMO_WORDS = 1_000_000
 #: Documents whose new words are looked up and merged together.
 TOGETHER = 512
 
@@ -29,6 +29,7 @@ class Memo(dict):
 
     def __init__(self, vocabulary: WordVocabulary, lexicon: Lexicon | None = None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
+        self.words = {w: i.to_bytes(4, "little") for w, i in vocabulary.special.items()}
 
     def __missing__(self, chunk: str) -> bytes:
         self.learn({chunk})
@@ -36,21 +37,20 @@ class Memo(dict):
 
     def learn(self, chunks_: set[str]) -> None:
         """Look up all the new chunks' words in one walk of the lexicon and merge the others."""
-        if len(self) > MEMO_WORDS:
+        if len(self) + len(self.words) > MEMO_WORDS:
             self.clear()
-        new = {c: self.vocabulary.pieces(c) for c in chunks_ if c not in self}
-        words = list({w for pieces in new.values() for w in pieces})
-        ids = {w: i.to_bytes(4, "little") for w, i in self.vocabulary.special.items()}
-        numbers = self.lexicon.numbers(words).tolist() if self.lexicon and words else [-1] * len(words)
-        unseen = []
-        for word, number in zip(words, numbers):
-            if number >= 0:
-                ids[word] = self.lexicon.ids(number).tobytes()
-            elif word not in ids:
-                unseen.append(word)
-        ids.update(zip(unseen, self.vocabulary.merge_many(unseen)))
+            self.words = {w: i.to_bytes(4, "little") for w, i in self.vocabulary.special.items()}
+        ids = self.words
+        new = {c: self.vocabulary.pieces(c) for c in chunks_.difference(self)}
+        words = list({w for pieces in new.values() for w in pieces}.difference(ids))
+        if self.lexicon and words:
+            for word, number in zip(words, self.lexicon.numbers(words).tolist()):
+                if number >= 0:
+                    ids[word] = self.lexicon.ids(number).tobytes()
+            words = [w for w in words if w not in ids]
+        ids.update(zip(words, self.vocabulary.merge_many(words)))
         for chunk, pieces in new.items():
-            self[chunk] = b"".join([ids[w] for w in pieces])
+            self[chunk] = ids[pieces[0]] if len(pieces) == 1 else b"".join([ids[w] for w in pieces])
 
 
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -75,7 +75,7 @@ def frequent_words(docs: DataFrame, tokenizer_path: str, text: str = "text", lim
         for batch in batches:
             for value in batch.column(0):
                 seen.update(chunks(value.as_py()))
-                if len(seen) > MEMO_WORDS // 2:
+                if len(seen) > MEMO_WORDS // 4:
                     yield flush()
         yield flush()
 

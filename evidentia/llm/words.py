@@ -109,11 +109,12 @@ class WordVocabulary:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         for content, i in self.special.items():
             self.tokens[i] = content
+        self._angled = all("<|" in s for s in self.special)  # one test then rules out all of them
         self._split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
 
     def pieces(self, text: str) -> list[str]:
         """Words of a text in order; a special string is a piece of its own, found before normalising."""
-        if not any(s in text for s in self.special):
+        if "<|" not in text if self._angled else not any(s in text for s in self.special):
             return self._words(text)
         out: list[str] = []
         for part in self._split.split(text):
@@ -121,6 +122,8 @@ class WordVocabulary:
         return out
 
     def _words(self, text: str) -> list[str]:
+        if text.isalpha() and text.isascii():
+            return [text.lower()]
         if text.isascii() or not _unassigned(_ASTRAL.search(text) is not None).search(text):
             return split_words(text)
         parts = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
@@ -151,15 +154,16 @@ class WordVocabulary:
                 out[k] = np.array(self.merge(words[k]), dtype="<u4").tobytes()
             elif r:
                 groups.setdefault(len(r), []).append(k)
-        inner, final = np.array(self.inner, dtype=np.int64), np.array(self.final, dtype=np.int64)
+        inner, final, _ = self._arrays
         for length, members in groups.items():
             codes = np.frombuffer(b"".join([raw[k] for k in members]), dtype=np.uint8).reshape(-1, length)
-            ids = inner[codes]
-            ids[:, -1] = final[codes[:, -1]]
-            sizes = np.full(len(ids), length)
+            ids = inner[codes.T]
+            ids[-1] = final[codes[:, -1]]
+            sizes = np.full(len(members), length)
             if length > 1:
-                self._merge_rows(ids, sizes)
-            flat, ends = ids[np.arange(length) < sizes[:, None]].astype("<u4").tobytes(), np.cumsum(sizes) * 4
+                self._merge_columns(ids, sizes)
+            kept = np.arange(length) < sizes[:, None]
+            flat, ends = ids.T[kept].astype("<u4").tobytes(), np.cumsum(sizes) * 4
             for k, a, b in zip(members, (ends - 4 * sizes).tolist(), ends.tolist()):
                 out[k] = flat[a:b]
         return out
@@ -171,41 +175,46 @@ class WordVocabulary:
         at[at == len(keys)] = 0
         return np.where(keys[at] == wanted, ranks[at], len(self.made))
 
+    @cached_property
+    def _arrays(self) -> tuple[np.ndarray, ...]:
+        return tuple(np.array(x, dtype=np.int64) for x in (self.inner, self.final, self.made))
+
     @cached_property
     def _pair_table(self) -> tuple[np.ndarray, np.ndarray]:
         keys = np.array([a * len(self.tokens) + b for a, b in self.ranks], dtype=np.int64)
         order = np.argsort(keys)
         return keys[order], np.array(list(self.ranks.values()), dtype=np.int64)[order]
 
-    def _merge_rows(self, ids: np.ndarray, sizes: np.ndarray) -> None:
-        none, made = len(self.made), np.array(self.made, dtype=np.int64)
-        rows = np.arange(len(ids))
-        own, ranks = ids.copy(), self._rank_many(ids[:, :-1], ids[:, 1:])
+    def _merge_columns(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Merge words that stand side by side, one per column, in place; sizes become the ids left."""
+        none, made = len(self.made), self._arrays[2]
+        words, own, ranks = np.arange(ids.shape[1]), ids.copy(), self._rank_many(ids[:-1], ids[1:])
         while True:
-            at = ranks.argmin(axis=1)
-            best = ranks[np.arange(len(rows)), at]
+            at = ranks.argmin(axis=0)
+            best = ranks[at, np.arange(len(words))]
             live = best < none
             if not live.all():
-                ids[rows[~live], : own.shape[1]] = own[~live]
-                rows, own, ranks, at, best = rows[live], own[live], ranks[live], at[live], best[live]
-            if not len(rows):
+                ids[: len(own), words[~live]] = own[:, ~live]
+                words, own, ranks, at, best = words[live], own[:, live], ranks[:, live], at[live], best[live]
+            if not len(words):
                 return
-            here = np.arange(len(rows))
-            own[here, at] = made[best]
-            shift = np.arange(own.shape[1] - 1)
-            own = np.take_along_axis(own, shift + (shift > at[:, None]), axis=1)
-            sizes[rows] -= 1
-            if own.shape[1] == 1:
-                ids[rows, :1] = own
+            here = np.arange(len(words))
+            own[at, here] = made[best]
+            sizes[words] -= 1
+            for k in range(1, len(own) - 1):
+                own[k] = np.where(k > at, own[k + 1], own[k])
+            own = own[:-1]
+            if len(own) == 1:
+                ids[:1, words] = own
                 return
-            width = own.shape[1] - 1
-            shift = np.arange(width)
-            ranks = np.take_along_axis(ranks, shift + (shift >= at[:, None]), axis=1)
+            for k in range(len(ranks) - 1):
+                ranks[k] = np.where(k >= at, ranks[k + 1], ranks[k])
+            ranks = ranks[:-1]
             # a merge changes the pairs on both sides of the new id
             has = np.flatnonzero(at > 0)
-            ranks[has, at[has] - 1] = self._rank_many(own[has, at[has] - 1], own[has, at[has]])
-            has = np.flatnonzero(at < width)
-            ranks[has, at[has]] = self._rank_many(own[has, at[has]], own[has, at[has] + 1])
+            ranks[at[has] - 1, has] = self._rank_many(own[at[has] - 1, has], own[at[has], has])
+            has = np.flatnonzero(at < len(ranks))
+            ranks[at[has], has] = self._rank_many(own[at[has], has], own[at[has] + 1, has])
 
     def _merge_short(self, ids: list[int]) -> list[int]:
         rank_of, made, none = self.ranks.get, self.made, len(self.made)
