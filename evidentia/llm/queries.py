@@ -44,12 +44,43 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def captures_and_lists(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Fetch times and dated list entries derived from the pages: a third of all hosts, domains and paths gets listed."""
+    from evidentia.llm.urlfilter import keys_of
+
+    day = F.col("page_id") * 7919 % 1461
+    captures = pages.select("page_id", "url", F.expr("timestamp '2020-01-01 00:00:00'").alias("start"), day.alias("day"), (F.col("page_id") % 24).alias("hour"))
+    captures = captures.select("page_id", "url", F.expr("start + make_interval(0, 0, 0, cast(day as int), cast(hour as int))").alias("fetched_at"))
+    patterns = pages.select(F.explode(keys_of(F.col("url"))).alias("pattern")).distinct()
+    h = F.conv(F.substring(F.md5("pattern"), 1, 6), 16, 10).cast("long")
+    hashed = patterns.select("pattern", h.alias("h")).where("h % 3 = 0")
+    entries = hashed.selectExpr(
+        "pattern",
+        "case when h % 5 = 0 then 'allow' else 'block' end as verdict",
+        "explode(array(named_struct('change', 'add', 'day', h % 700), named_struct('change', 'remove', 'day', h % 700 + 100 + h % 500), named_struct('change', 'add', 'day', h % 700 + 700 + h % 300))) as e",
+    )
+    return captures, entries.selectExpr("pattern", "verdict", "e.change as change", "timestamp '2020-01-01 00:00:00' + make_interval(0, 0, 0, cast(e.day as int)) as effective")
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from evidentia.llm.urlfilter import evaluate
+
+    captures, entries = captures_and_lists(table(spark, sf_dir, "pages"))
+    return evaluate(captures, entries)
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from evidentia.llm.language import predict
 
     return predict(table(spark, sf_dir, "documents"))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from evidentia.llm.fingerprint import fingerprints
+
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     from evidentia.llm.chat import events_of, format_events, with_probe
 
@@ -69,9 +100,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_bpe": op5_bpe,
+    "op6_url_filters": op6_url_filters,
     "op7_language": op7_language,
+    "op8_fingerprints": op8_fingerprints,
     "op9_chat": op9_chat,
     "op10_lm_scoring": op10_lm_scoring,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_url_filters": r"""
+with c as (
+  select page_id, timestamp '2020-01-01' + to_days(cast(page_id * 7919 % 1461 as int)) + to_hours(page_id % 24) as fetched_at,
+         lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)', 1)) as host,
+         list_filter(string_split(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//[^/?#]*(/[^?#]*)', 1), '/'), lambda s: s <> '') as steps
+  from pages),
+k as (
+  select page_id, fetched_at, unnest(list_concat(
+      list_transform(range(1, greatest(len(string_split(host, '.')), 2)), lambda i: array_to_string(string_split(host, '.')[i:], '.')),
+      list_transform(range(1, len(steps) + 1), lambda j: host || '/' || array_to_string(steps[1:j], '/')))) as pattern
+  from c where host <> ''),
+p as (select distinct pattern, cast('0x' || substr(md5(pattern), 1, 6) as bigint) as h from k),
+e as (
+  select pattern, h, 'add' as change, h % 700 as day from p where h % 3 = 0
+  union all select pattern, h, 'remove', h % 700 + 100 + h % 500 from p where h % 3 = 0
+  union all select pattern, h, 'add', h % 700 + 700 + h % 300 from p where h % 3 = 0),
+i as (
+  select pattern, case when h % 5 = 0 then 'allow' else 'block' end as verdict, change, timestamp '2020-01-01' + to_days(cast(day as int)) as valid_from,
+         coalesce(lead(timestamp '2020-01-01' + to_days(cast(day as int))) over (partition by pattern order by day, change), timestamp '9999-12-31') as valid_to
+  from e),
+m as (
+  select k.page_id, i.pattern, i.verdict, row_number() over (partition by k.page_id order by length(i.pattern) desc, i.pattern desc) as r, count(*) over (partition by k.page_id) as n
+  from k join i on k.pattern = i.pattern and i.change = 'add' and k.fetched_at >= i.valid_from and k.fetched_at < i.valid_to)
+select c.page_id, coalesce(m.n, 0) as n_active, coalesce(m.verdict, 'none') as decision, m.pattern
+from c left join m on m.page_id = c.page_id and m.r = 1
+""",
+}
