@@ -240,6 +240,21 @@ def identify(docs: DataFrame, model: LetterModel, key: str = "doc_id", text: str
     return plain.mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
+def keep_identified(docs: DataFrame, model: LetterModel, text: str = "text") -> DataFrame:
+    """The rows whose text has a letter, and so a language; all columns pass through unchanged and nothing is shuffled."""
+    if not model.languages:
+        return docs.where(F.col(text).rlike(r"\p{L}"))
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labeller = Labeller(shared.value)
+        for batch in batches:
+            kept = [value.is_valid and bool(labeller.label(value.as_py().split())[0]) for value in batch.column(at)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def predict(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """Fit outside the held-out fold (crc32 of the key's text mod 5 is 0) and label every row."""
     found = identify(docs, fit(docs, key, text, lang), key, text)

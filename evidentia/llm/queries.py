@@ -18,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from evidentia.llm.lines import dedup_lines
+
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from evidentia.llm.topk import top_k
 
@@ -96,6 +102,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_top_k": op2_top_k,
     "op3_packing": op3_packing,
     "op4_near_duplicates": op4_near_duplicates,
