@@ -66,10 +66,14 @@ class Shingler:
         return np.unique(self.hashes(self.words(text)), return_counts=True)
 
 
-def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Multiset overlap; two empty bags are equal."""
+def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> int:
     _, at_a, at_b = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    both = int(np.minimum(a[1][at_a], b[1][at_b]).sum())
+    return int(np.minimum(a[1][at_a], b[1][at_b]).sum())
+
+
+def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """Multiset overlap as a share; two empty bags are equal."""
+    both = overlap(a, b)
     total = int(a[1].sum()) + int(b[1].sum()) - both
     return both / total if total else 1.0
 
@@ -158,7 +162,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(member, hub, sim) with the exact weighted Jaccard similarity of every given pair."""
+    """(member, hub, both, sim): exact multiset overlap and weighted Jaccard similarity of every given pair."""
     load = pairs.groupBy("hub").agg(F.ceil(F.count("*") / VERIFIED_TOGETHER).cast("int").alias("salts"))
     members = (
         pairs.join(texts.withColumnRenamed("key", "member"), "member")
@@ -172,17 +176,21 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, hub, bag = Shingler(), None, None
         for batch in batches:
-            rows: list[list] = [[], [], []]
+            rows: list[list] = [[], [], [], []]
             for h, m, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
                 if m is None:
                     hub, bag = h, shingler.bag(text.as_py())
                 else:
-                    for column, value in zip(rows, (m, hub, weighted_jaccard(shingler.bag(text.as_py()), bag))):
+                    own = shingler.bag(text.as_py())
+                    both = overlap(own, bag)
+                    total = int(own[1].sum()) + int(bag[1].sum()) - both
+                    for column, value in zip(rows, (m, hub, both, both / total if total else 1.0)):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.float64())], ["member", "hub", "sim"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows, kinds)], ["member", "hub", "both", "sim"])
 
     dealt = members.unionByName(hubs).repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.col("member").asc_nulls_first())
-    return dealt.mapInArrow(compare, "member long, hub long, sim double")
+    return dealt.mapInArrow(compare, "member long, hub long, both long, sim double")
 
 
 def _texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -205,8 +213,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     Texts equal up to case and white space form one class at once; only one of them is banded. In each bucket
     every text is verified against a hub, the text that meets most others. A text below the threshold there
-    may still match another member: such pairs are compared unless their bound is below the threshold,
-    where the bound counts shingles that no other text of these buckets has. Nothing is capped.
+    may still match another member: such pairs are compared unless a bound on their overlap rules it out, which
+    adds what both share with the hub to what others share beyond it. Nothing is capped.
 
     Null text counts as empty, and empty texts are copies of one another. Texts under five words match equal
     texts only. Rows with a null key get a null class and take no part; repeated rows share their class. Keys
@@ -230,22 +238,26 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     links = sims.where(F.col("sim") >= THRESHOLD).select(F.col("member").alias("src"), F.col("hub").alias("dst"))
 
     # Members that miss their hub may match each other, or a member that the hub holds.
-    rest = placed.where("size > 2").join(sims, ["member", "hub"]).select("bucket", "member", "n", "sim")
+    rest = placed.where("size > 2").join(sims, ["member", "hub"]).select("bucket", "member", "hub", "n", "both", "sim")
     missed = rest.where(F.col("sim") < THRESHOLD).select("bucket").distinct()
     rest = cut(rest.join(missed, "bucket"))
     if not rest.isEmpty():
-        shingles = _texts_of(plain, rest.select(F.col("member").alias("key"))).mapInArrow(_shingle_rows, "key long, shingle long, w long")
+        present = rest.select(F.col("member").alias("key")).union(rest.select(F.col("hub").alias("key")))
+        shingles = _texts_of(plain, present).mapInArrow(_shingle_rows, "key long, shingle long, w long")
         alone = shingles.groupBy("shingle").agg(F.count("*").alias("df"), F.min("key").alias("key"), F.min("w").alias("w")).where("df = 1")
         unique = alone.groupBy("key").agg(F.sum("w").alias("u")).withColumnRenamed("key", "member")
-        bounded = rest.join(unique, "member", "left").withColumn("kept", F.col("n") - F.coalesce("u", F.lit(0)))
-        bounded = bounded.where(F.col("kept") >= THRESHOLD * F.col("n")).select("bucket", "member", "n", "sim", "kept")
-        a, b = (bounded.select("bucket", *(F.col(c).alias(f"{c}_{s}") for c in ("member", "n", "sim", "kept"))) for s in "ab")
-        most = F.least("kept_a", "kept_b")
+        # extra: shingles that the hub lacks and some other text here has
+        bounded = rest.join(unique, "member", "left").withColumn("extra", F.col("n") - F.col("both") - F.coalesce("u", F.lit(0)))
+        bounded = bounded.where(F.col("both") + F.col("extra") >= THRESHOLD * F.col("n")).join(lone.select(F.col("rep").alias("member"), "bands"), "member")
+        a, b = (bounded.select("bucket", *(F.col(c).alias(f"{c}_{s}") for c in ("member", "n", "sim", "both", "extra", "bands"))) for s in "ab")
+        most = F.least("both_a", "both_b") + F.least("extra_a", "extra_b")
+        shared_bands = F.filter(F.arrays_zip("bands_a", "bands_b"), lambda z: z["bands_a"] == z["bands_b"])
         able = (
             (F.col("member_a") < F.col("member_b"))
             & (F.least("sim_a", "sim_b") < THRESHOLD)
             & (F.abs(F.col("sim_a") - F.col("sim_b")) <= 1 - THRESHOLD + 1e-9)  # 1 - weighted Jaccard is a metric
             & (most >= THRESHOLD * (F.col("n_a") + F.col("n_b") - most))
+            & (F.col("bucket") == F.get(shared_bands, 0)["bands_a"])  # or an earlier bucket has the pair
         )
         again = a.join(b, "bucket").where(able).select(F.col("member_a").alias("member"), F.col("member_b").alias("hub")).distinct()
         again = cut(again)
