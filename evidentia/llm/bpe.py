@@ -19,7 +19,7 @@ from evidentia.llm.words import WordVocabulary, chunks
 #: Words in the lexicon; the rest are merged when they are met.
 LEXICON_WORDS = 65_536
 #: Chunks and words a worker remembers or counts before it starts afresh; bounds memory, never results.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 400_000
 #: Documents whose new words are looked up and merged together.
 TOGETHER = 512
 
@@ -84,11 +84,18 @@ def frequent_words(docs: DataFrame, tokenizer_path: str, text: str = "text", lim
     return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(limit).collect()]
 
 
+#: Lexicons that an application's executors already have, by content.
+_published: set[tuple[str, str]] = set()
+
+
 def publish_lexicon(spark, words: list[str], tokenizer_path: str) -> str:
     """Compile the words, hand the file to every executor, and return its name there."""
     vocabulary = WordVocabulary(tokenizer_path)
     data = compile_lexicon((w, vocabulary.merge(w)) for w in words if w not in vocabulary.special)
     name = f"lexicon-{hashlib.sha256(data).hexdigest()[:24]}.bin"
+    if (here := (spark.sparkContext.applicationId, name)) in _published:
+        return name
+    _published.add(here)
     path = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)
     with open(path, "wb") as f:
         f.write(data)
