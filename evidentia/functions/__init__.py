@@ -1 +1 @@
-
+"""Column functions: parsing, URLs and text."""
