@@ -1 +1 @@
-
+"""Readers, sinks, type sniffing and page extraction."""

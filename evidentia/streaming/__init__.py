@@ -1 +1 @@
-
+"""The capture log as a stream."""
