@@ -1 +1,9 @@
+"""Registered queries over the given tables, each with its DuckDB counterpart where SQL can express it."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
