@@ -23,6 +23,15 @@ def postings(docs: DataFrame, key: str, text: str) -> DataFrame:
     return words.groupBy(key, "term").agg(F.count("*").alias("tf"), F.array_sort(F.collect_list("pos")).alias("positions"))
 
 
+def _starts(phrase: list[str]):
+    """A test of whether the phrase starts at a token; null beyond the end, which a filter drops."""
+
+    def test(token, i):
+        return reduce(lambda a, b: a & b, ((token if j == 0 else F.get("tokens", i + j)) == w for j, w in enumerate(phrase)))
+
+    return test
+
+
 def phrase_hits(docs: DataFrame, phrases: list[list[str]], key: str, text: str) -> DataFrame:
     """(key, length, tf0, tf1, ...): how often each phrase of folded tokens occurs, for documents that have them all.
 
@@ -32,8 +41,7 @@ def phrase_hits(docs: DataFrame, phrases: list[list[str]], key: str, text: str)
     toks = docs.select(key, tokens(lower).alias("tokens"))
     counts = []
     for k, phrase in enumerate(phrases):
-        starts = F.filter("tokens", lambda t, i, phrase=phrase: reduce(lambda a, b: a & b, ((F.get("tokens", i + j) == w) for j, w in enumerate(phrase))))
-        counts.append(F.size(starts).alias(f"tf{k}"))
+        counts.append(F.size(F.filter("tokens", _starts(phrase))).alias(f"tf{k}"))
     return toks.select(key, F.size("tokens").alias("length"), *counts)
 
 
