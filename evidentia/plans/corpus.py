@@ -75,7 +75,7 @@ def link_ext_histogram(spark, sf):
     return links.groupBy(F.coalesce(F.nullif("ext", F.lit("")), F.lit("(none)")).alias("ext")).agg(F.count("*").alias("n"))
 
 
-@query(r"select page_id, nullif(trim(regexp_replace(replace(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')), '') as title from pages")
+@query(r"select page_id, nullif(trim(regexp_replace(replace(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&amp;', '&'), '\s+', ' ', 'g')), '') as title from pages")
 def page_title(spark, sf):
     return _parsed(spark, sf).select("page_id", "title")
 
