@@ -12,7 +12,7 @@ from evidentia.functions import urls
 from evidentia.operators import library, navigate, search
 from evidentia.plans import table
 from evidentia.session import shared_dir
-from evidentia.sources import html, readers
+from evidentia.sources import html, readers, tables
 from evidentia.streaming import captures
 
 QUERIES, ORACLES = {}, {}
@@ -385,3 +385,53 @@ def content_addressed(spark, sf):
     """Blobs by content: which page first held the same bytes."""
     p = table(spark, sf, "pages").select("page_id", F.sha2("html", 256).alias("sha"))
     return p.join(p.groupBy("sha").agg(F.min("page_id").alias("first_page")), "sha").select("page_id", "first_page")
+
+
+@query(r"""
+with t as (select page_id, unnest(regexp_extract_all(regexp_replace(regexp_replace(html, '<(script|style)[^>]*>.*?</(script|style)>', '<\1>', 'gs'), '<!--.*?-->', '', 'gs'), '<([a-z][a-z0-9]*)', 1)) as tag from pages)
+select tag, count(*) as n, count(distinct page_id) as pages from t group by tag
+""")
+def page_tag_counts(spark, sf):
+    """How often each tag stands in the pages, from the tag stream."""
+    return tables.tag_stream(table(spark, sf, "pages")).groupBy("tag").agg(F.count("*").alias("n"), F.count_distinct("page_id").alias("pages"))
+
+
+@query(r"select page_id, 'utf-8' as charset, length(html)::bigint as chars, md5(html) as digest from pages")
+def page_charsets(spark, sf):
+    """Page bytes decoded by the charset ladder, and the text they give."""
+    p = table(spark, sf, "pages").select("page_id", F.encode("html", "UTF-8").alias("content"), F.lit("text/html").alias("content_type"))
+    return tables.decoded(p, "page_id").select("page_id", "charset", F.length("text").cast("long").alias("chars"), F.md5("text").alias("digest"))
+
+
+@query("""
+select doc_id, case when doc_id % 11 = 0 then 'url' when doc_id % 7 = 0 then 'date' when doc_id % 5 = 0 then 'type' when trim(text) = '' then 'blank' when doc_id % 3 = 0 and doc_id % 2 = 0 then 'held' end as refusal from documents
+""")
+def import_refusals(spark, sf):
+    """Validation of imports derived from documents: why each is refused, or null."""
+    k = F.col("doc_id")
+    url = F.when(k % 11 == 0, "nowhere").otherwise(F.concat(F.lit("https://h/"), k))
+    at = F.when(k % 7 == 0, "yesterday").otherwise(F.lit("2020-01-02T03:04:05Z"))
+    reason = tables.refusal_reason(url, at, F.when(k % 5 != 0, "text"), F.lit(False), F.col("text"), k % 3 == 0, k % 2 == 1)
+    return table(spark, sf, "documents").select("doc_id", reason.alias("refusal"))
+
+
+@query("""
+select doc_id, case when doc_id % 4 = 0 then 'manual' when doc_id % 9 = 0 then 'missing blob' when trim(text) = '' then 'empty' when source = 'src0' then 'unchanged' else 'rewritten' end as outcome from documents
+""")
+def reextraction_plan(spark, sf):
+    """Outcome of a re-extraction job derived from documents, in the order of its skip reasons."""
+    k, text = F.col("doc_id"), F.col("text")
+    old = F.when(F.col("source") == "src0", text).otherwise(F.concat(text, F.lit(".")))
+    outcome = tables.reextraction_outcome(F.when(k % 4 == 0, "manual").otherwise("html"), k % 9 != 0, F.lit(False), F.lit(True), old, text)
+    return table(spark, sf, "documents").select("doc_id", outcome.alias("outcome"))
+
+
+@query("""
+with h as (select doc_id, contains(lower(text), 'license') as by_text, source in ('src1', 'src2') as by_meta, doc_id % 4 <> 0 as captured from documents)
+select doc_id, case when not captured then 'not acquired' when by_text then 'held' else 'held, metadata only' end as part from h where by_text and captured or by_meta
+""")
+def result_partition(spark, sf):
+    """Search results as held, held by metadata alone, or not acquired."""
+    d = table(spark, sf, "documents").select("doc_id", F.lower("text").contains("license").alias("by_text"), F.col("source").isin("src1", "src2").alias("by_meta"), (F.col("doc_id") % 4 != 0).alias("captured"))
+    part = F.when(~F.col("captured"), "not acquired").when(F.col("by_text"), "held").otherwise("held, metadata only")
+    return d.where((F.col("by_text") & F.col("captured")) | F.col("by_meta")).select("doc_id", part.alias("part"))
