@@ -13,8 +13,10 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evidentia.llm.frequent import commonest
 from evidentia.llm.lexicon import Lexicon, compile_lexicon
 from evidentia.llm.words import WordVocabulary, chunks
+from evidentia.session import stored
 
 #: Words in the lexicon; the rest are merged when they are met.
 LEXICON_WORDS = 65_536
@@ -58,7 +60,7 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def frequent_words(docs: DataFrame, tokenizer_path: str, text: str = "text", limit: int = LEXICON_WORDS) -> list[str]:
-    """The commonest words of the whole corpus, at most `limit` of them; ties go to the smaller word."""
+    """The commonest words of the whole corpus, at most `limit` of them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, seen = WordVocabulary(tokenizer_path), Counter()
@@ -81,7 +83,7 @@ def frequent_words(docs: DataFrame, tokenizer_path: str, text: str = "text", lim
 
     texts = _keyed(docs, text, text).select("text")
     counts = texts.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(limit).collect()]
+    return [r["word"] for r in commonest(stored(counts, "word-counts"), limit).collect()]
 
 
 #: Lexicons that an application's executors already have, by content.

@@ -12,6 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evidentia.llm.frequent import commonest
 from evidentia.session import stored
 
 #: Commonest words whose scores every worker holds; the scores of all others are joined by shuffle.
@@ -223,7 +224,7 @@ def score_documents(docs: DataFrame, vocabulary_path: str, key: str = "doc_id",
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got / math.log(10))], ["word", "c", "n", "lp"])
 
     priced = stored(words.mapInArrow(price, "word binary, c long, n long, lp double"), "priced")
-    common = spark.sparkContext.broadcast({bytes(r["word"]): (r["c"], math.log10(r["c"] + 1), r["lp"]) for r in priced.orderBy(F.desc("n"), "word").limit(COMMON_WORDS).collect()})
+    common = spark.sparkContext.broadcast({bytes(r["word"]): (r["c"], math.log10(r["c"] + 1), r["lp"]) for r in commonest(priced, COMMON_WORDS).collect()})
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, task, row = common.value, TaskContext.get().partitionId(), 0
