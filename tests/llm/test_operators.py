@@ -59,6 +59,32 @@ def test_lines_keep_one_of_each_class(spark, sf):
         assert any(abs(len(n) - len(m)) <= 0.2 * max(len(n), len(m)) + 1 for m in after)
 
 
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_similarity_of_lines_is_exact(spark):
+    rng = np.random.default_rng(5)
+    words = LONG.split()
+    rows = []
+    for k in range(150):
+        a = list(words[: int(rng.integers(1, 27))])
+        b = list(a)
+        for _ in range(int(rng.integers(0, 7))):
+            at = int(rng.integers(0, len(b) + 1))
+            b[at : at + int(rng.integers(0, 3))] = [str(w) for w in rng.choice(words, int(rng.integers(0, 3)))]
+        rows.append((2 * k, 2 * k + 1, " ".join(a), " ".join(b) or "x"))
+    got = {r.a: r.same for r in lines._same(spark.createDataFrame(rows, "a long, b long, norm_a string, norm_b string")).collect()}
+    for k, _, a, b in rows:
+        assert got[k] == (edit_distance(a, b) <= math.floor(0.2 * max(len(a), len(b)) + 1e-9)), (a, b)
+    assert {True, False} == set(got.values())
+
+
 def test_simhash_counts_bits(spark):
     import xxhash
 
