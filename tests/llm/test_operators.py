@@ -83,6 +83,11 @@ def test_similarity_of_lines_is_exact(spark):
     for k, _, a, b in rows:
         assert got[k] == (edit_distance(a, b) <= math.floor(0.2 * max(len(a), len(b)) + 1e-9)), (a, b)
     assert {True, False} == set(got.values())
+    base = [f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(500)]
+    few, many = ([w if k % n else "other" for k, w in enumerate(base)] + ["end", "of", "it"] for n in (12, 3))
+    pairs = [(1, 2, " ".join(base), " ".join(few)), (3, 4, " ".join(base), " ".join(many)), (5, 6, " ".join(base), " ".join(base))]
+    got = {r.a: r.same for r in lines._same(spark.createDataFrame(pairs, "a long, b long, norm_a string, norm_b string")).collect()}
+    assert got == {1: True, 3: False, 5: True}
 
 
 def test_simhash_counts_bits(spark):
