@@ -59,6 +59,23 @@ def test_lines_keep_one_of_each_class(spark, sf):
         assert any(abs(len(n) - len(m)) <= 0.2 * max(len(n), len(m)) + 1 for m in after)
 
 
+def invented(rng, n, low=3, high=10):
+    """Words of random letters."""
+    return ["".join(chr(97 + int(c)) for c in rng.integers(0, 26, int(rng.integers(low, high)))) for _ in range(n)]
+
+
+def test_lines_meet_whatever_their_hub(spark, monkeypatch):
+    """All lines in one bucket: of each pair one goes, though at most one pair holds the bucket's first class."""
+    monkeypatch.setattr(lines, "_keys", lambda sim: F.array(F.lit(1).cast("long")))
+    rng = np.random.default_rng(11)
+    rows = []
+    for k in range(8):
+        words = invented(rng, 40)
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join([*words[:-1], "zz"]))]
+    got = {r.doc_id: r.n_dropped for r in lines.dedup_lines(docs_of(spark, rows)).collect()}
+    assert got == {k: k % 2 for k in range(16)}
+
+
 def edit_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
