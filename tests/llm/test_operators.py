@@ -107,6 +107,23 @@ def test_similarity_of_lines_is_exact(spark):
     assert got == {1: True, 3: False, 5: True}
 
 
+def test_long_lines_are_compared_in_letters(spark):
+    """Many short words gone, or few long words changed: the answer of the letters, below and above LONG."""
+    rng = np.random.default_rng(12)
+    rows, want = [], {}
+    for k, n in enumerate((60, 400)):
+        mixed = [w for pair in zip(invented(rng, n, 2, 3), invented(rng, n, 10, 11)) for w in pair]
+        fewer = [w for i, w in enumerate(mixed) if i % 2 or i % 4 and i % 16 != 2]  # of every 16 words five short ones went
+        large = [w for i in range(n // 5) for w in (*invented(rng, 9, 3, 4), *invented(rng, 2, 14, 15))]
+        other = [w if len(w) < 10 else v for w, v in zip(large, invented(rng, len(large), 14, 15))]
+        rows += [(4 * k, 4 * k + 1, " ".join(mixed), " ".join(fewer)), (4 * k + 2, 4 * k + 3, " ".join(large), " ".join(other))]
+    for a, _, x, y in rows:
+        want[a] = edit_distance(x, y) <= math.floor(0.2 * max(len(x), len(y)) + 1e-9)
+    assert want == {0: True, 2: False, 4: True, 6: False}
+    got = lines._same(spark.createDataFrame(rows, "a long, b long, norm_a string, norm_b string")).collect()
+    assert {r.a: r.same for r in got} == want
+
+
 def test_simhash_counts_bits(spark):
     import xxhash
 
