@@ -107,6 +107,30 @@ def test_similarity_of_lines_is_exact(spark):
     assert got == {1: True, 3: False, 5: True}
 
 
+def test_changed_lines_meet(spark):
+    """Pairs with one word changed, or a letter in a line of one to three words; nearly all are linked."""
+    rng = np.random.default_rng(13)
+    rows, least = [], {"8 words": 0.9, "20 words": 0.95, "50 words": 0.95, "100 words": 0.95, "typo": 0.9, "tiny": 1}
+    for kind in least:
+        for k in range(100):
+            if kind == "typo":
+                line = " ".join(invented(rng, int(rng.integers(2, 4)), 6, 11))
+            elif kind == "tiny":
+                line = invented(rng, 1, 6, 15)[0]
+            else:
+                words = invented(rng, int(kind.split()[0]))
+            if kind in ("typo", "tiny"):
+                at = int(rng.integers(0, len(line)))
+                other = line[:at] + "é" + line[at + 1 :]
+            else:
+                at = int(rng.integers(0, len(words)))
+                line, other = " ".join(words), " ".join([*words[:at], "éééé", *words[at + 1 :]])
+            assert edit_distance(line, other) <= 0.2 * max(len(line), len(other))
+            rows.append((len(rows), f"{line}\n{other}", kind))
+    got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, kind string")).groupBy("kind").agg(F.avg("n_dropped").alias("part")).collect()
+    assert all(least[r.kind] <= r.part <= 1 for r in got), {r.kind: r.part for r in got}
+
+
 def test_long_lines_are_compared_in_letters(spark):
     """Many short words gone, or few long words changed: the answer of the letters, below and above LONG."""
     rng = np.random.default_rng(12)
