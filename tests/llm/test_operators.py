@@ -131,6 +131,15 @@ def test_changed_lines_meet(spark):
     assert all(least[r.kind] <= r.part <= 1 for r in got), {r.kind: r.part for r in got}
 
 
+def test_repeated_rows_change_no_sketch(spark):
+    """300 copies of a row with a long line: one copy keeps its lines, and a near line elsewhere is still found."""
+    rng = np.random.default_rng(14)
+    words = invented(rng, 140)
+    rows = [(7, " ".join(words))] * 300 + [(8, " ".join([*words[:-1], "zz"])), (None, " ".join(["zz", *words[1:]]))] + [(None, "other words")] * 20
+    got = Counter((r.doc_id, r.text) for r in lines.dedup_lines(docs_of(spark, rows)).collect())
+    assert got == {(7, ""): 300, (8, ""): 1, (None, " ".join(["zz", *words[1:]])): 1, (None, "other words"): 1, (None, ""): 19}
+
+
 def test_long_lines_are_compared_in_letters(spark):
     """Many short words gone, or few long words changed: the answer of the letters, below and above LONG."""
     rng = np.random.default_rng(12)
