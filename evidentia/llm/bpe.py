@@ -7,7 +7,9 @@ import os
 import tempfile
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -15,44 +17,82 @@ from pyspark.sql import functions as F
 
 from evidentia.llm.frequent import commonest
 from evidentia.llm.lexicon import Lexicon, compile_lexicon
-from evidentia.llm.words import WordVocabulary, chunks
+from evidentia.llm.words import WordVocabulary, chunks, vocabulary
 from evidentia.session import stored
 
 #: Words in the lexicon; the rest are merged when they are met.
 LEXICON_WORDS = 65_536
-#: Chunks and words a worker remembers or counts before it starts afresh; bounds memory, never results.
-MEMO_WORDS = 400_000
-#: Documents whose new words are looked up and merged together.
-TOGETHER = 512
+#: Chunks and words that a worker remembers before it starts afresh, and the longest that it keeps; bounds memory, never results.
+MEMO_CHUNKS, MEMO_WORDS, KEPT = 250_000, 500_000, 64
+#: Distinct chunks counted before a worker hands on what it has.
+COUNTED = 100_000
+#: Characters of documents whose new words are looked up and merged together.
+TOGETHER = 2_000_000
 
 
-class Memo(dict):
-    """chunk -> little-endian ids; its words come from the lexicon, or from exact merges."""
+class Memo:
+    """chunk -> little-endian ids and, if asked for, their decoded string; words come from the lexicon, or from exact merges."""
 
-    def __init__(self, vocabulary: WordVocabulary, lexicon: Lexicon | None = None):
-        self.vocabulary, self.lexicon = vocabulary, lexicon
-        self.words = {w: i.to_bytes(4, "little") for w, i in vocabulary.special.items()}
-
-    def __missing__(self, chunk: str) -> bytes:
-        self.learn({chunk})
-        return self[chunk]
+    def __init__(self, vocabulary: WordVocabulary, lexicon: Lexicon | None = None, decoded: bool = False):
+        self.vocabulary, self.lexicon, self.decoded = vocabulary, lexicon, decoded
+        self.ids: dict[str, bytes] = {}
+        self.texts: dict[str, str] = {}
+        self.words: dict[str, bytes] = {}
 
     def learn(self, chunks_: set[str]) -> None:
         """Look up all the new chunks' words in one walk of the lexicon and merge the others."""
-        if len(self) + len(self.words) > MEMO_WORDS:
-            self.clear()
-            self.words = {w: i.to_bytes(4, "little") for w, i in self.vocabulary.special.items()}
-        ids = self.words
-        new = {c: self.vocabulary.pieces(c) for c in chunks_.difference(self)}
-        words = list({w for pieces in new.values() for w in pieces}.difference(ids))
+        new = list(chunks_.difference(self.ids))
+        if len(self.ids) + len(new) > MEMO_CHUNKS:
+            self.ids.clear()
+            self.texts.clear()
+            new = list(chunks_)
+        if len(self.words) > MEMO_WORDS or not self.words:
+            self.words = {w: i.to_bytes(4, "little") for w, i in self.vocabulary.special.items()} | {"\n": b""}
+        pieces = self.vocabulary.pieces_together(new)
+        words = list(set(pieces).difference(self.words))
         if self.lexicon and words:
             for word, number in zip(words, self.lexicon.numbers(words).tolist()):
                 if number >= 0:
-                    ids[word] = self.lexicon.ids(number).tobytes()
-            words = [w for w in words if w not in ids]
-        ids.update(zip(words, self.vocabulary.merge_many(words)))
-        for chunk, pieces in new.items():
-            self[chunk] = ids[pieces[0]] if len(pieces) == 1 else b"".join([ids[w] for w in pieces])
+                    self.words[word] = self.lexicon.ids(number).tobytes()
+            words = [w for w in words if w not in self.words]
+        self.words.update(zip(words, self.vocabulary.merge_many(words)))
+        # a line feed has no ids; any other piece has some
+        raw = list(map(self.words.__getitem__, pieces))
+        sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        ends = np.append(np.cumsum(sizes)[sizes == 0], sizes.sum()).tolist()
+        flat = b"".join(raw)
+        own = [flat[a:b] for a, b in zip(ends, ends[1:])]
+        self.ids.update(zip(new, own))
+        if self.decoded:
+            tokens = self.vocabulary.tokens
+            self.texts.update(zip(new, (" ".join([tokens[i] for i in memoryview(r).cast("I")]) for r in own)))
+
+    def shed(self) -> None:
+        """Forget what is too long to be kept."""
+        for held in (self.ids, self.texts, self.words):
+            for long in [c for c in held if len(c) > KEPT]:
+                del held[long]
+
+
+@lru_cache(maxsize=1)
+def memo_of(tokenizer_path: str, lexicon_path: str | None = None, decoded: bool = False) -> Memo:
+    """The worker's memory of chunks; tasks that follow one another in a worker share it."""
+    return Memo(vocabulary(tokenizer_path), Lexicon(lexicon_path) if lexicon_path else None, decoded)
+
+
+def portions(batch: pa.RecordBatch, column: int = 1) -> Iterator[tuple[pa.RecordBatch, list[list[str]]]]:
+    """Slices of a batch of about TOGETHER characters, and their texts' chunks."""
+    split: list[list[str]] = []
+    first, size = 0, 0
+    for k, value in enumerate(batch.column(column)):
+        text = value.as_py()
+        split.append(chunks(text))
+        size += len(text)
+        if size >= TOGETHER:
+            yield batch.slice(first, k + 1 - first), split
+            split, first, size = [], k + 1, 0
+    if split:
+        yield batch.slice(first), split
 
 
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -63,12 +103,14 @@ def frequent_words(docs: DataFrame, tokenizer_path: str, text: str = "text", lim
     """The commonest words of the whole corpus, at most `limit` of them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, seen = WordVocabulary(tokenizer_path), Counter()
+        seen: Counter = Counter()
 
         def flush() -> pa.RecordBatch:
-            words: Counter = Counter()
-            for chunk, n in seen.items():
-                for word in vocabulary.pieces(chunk):
+            words, counts, n = Counter(), iter(seen.values()), 0
+            for word in vocabulary(tokenizer_path).pieces_together(list(seen)):
+                if word == "\n":
+                    n = next(counts)
+                else:
                     words[word] += n
             out = pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
             seen.clear()
@@ -77,7 +119,7 @@ def frequent_words(docs: DataFrame, tokenizer_path: str, text: str = "text", lim
         for batch in batches:
             for value in batch.column(0):
                 seen.update(chunks(value.as_py()))
-                if len(seen) > MEMO_WORDS // 4:
+                if len(seen) > COUNTED:
                     yield flush()
         yield flush()
 
@@ -92,43 +134,44 @@ _published: set[tuple[str, str]] = set()
 
 def publish_lexicon(spark, words: list[str], tokenizer_path: str) -> str:
     """Compile the words, hand the file to every executor, and return its name there."""
-    vocabulary = WordVocabulary(tokenizer_path)
-    data = compile_lexicon((w, vocabulary.merge(w)) for w in words if w not in vocabulary.special)
+    known = vocabulary(tokenizer_path)
+    plain = [w for w in words if w not in known.special]
+    data = compile_lexicon((w, memoryview(raw).cast("I").tolist()) for w, raw in zip(plain, known.merge_many(plain)))
     name = f"lexicon-{hashlib.sha256(data).hexdigest()[:24]}.bin"
     if (here := (spark.sparkContext.applicationId, name)) in _published:
         return name
-    _published.add(here)
     path = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)
     with open(path, "wb") as f:
         f.write(data)
     spark.sparkContext.addFile(path)  # the driver serves it; each executor keeps its own copy
+    _published.add(here)
     return name
 
 
-def encode(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", lexicon_words: int = LEXICON_WORDS) -> DataFrame:
-    """(key, n_tokens, ids) with ids as little-endian unsigned 32-bit integers, one row per input row.
+def encode(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", lexicon_words: int = LEXICON_WORDS, decoded: bool = False) -> DataFrame:
+    """(key, n_tokens, ids[, decoded]) with ids as little-endian unsigned 32-bit integers, one row per input row.
 
     Null text counts as empty and gives no ids; repeated rows and null keys keep their rows; other columns
     are not read; an empty table gives an empty result. Special strings inside texts become their ids.
+    With `decoded` the ids are turned back into text in the same pass, as `decode` does: a text's ids are its
+    chunks' ids in order, so its decoded text is that of each chunk's ids, joined by blanks.
     """
     name = publish_lexicon(docs.sparkSession, frequent_words(docs, tokenizer_path, text, lexicon_words), tokenizer_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = WordVocabulary(tokenizer_path)
-        memo = Memo(vocabulary, Lexicon(SparkFiles.get(name)))
+        memo = memo_of(tokenizer_path, SparkFiles.get(name), decoded)
         for batch in batches:
-            for at in range(0, batch.num_rows, TOGETHER):
-                part = batch.slice(at, TOGETHER)
-                split = [chunks(t) for t in part.column(1).to_pylist()]
+            for part, split in portions(batch):
                 memo.learn(set().union(*split))
-                ids = [b"".join(map(memo.__getitem__, c)) for c in split]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())], ["key", "n_tokens", "ids"]
-                )
+                ids = [b"".join(map(memo.ids.__getitem__, c)) for c in split]
+                columns = [part.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())]
+                if decoded:
+                    columns.append(pa.array([" ".join(map(memo.texts.__getitem__, c)) for c in split], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, ["key", "n_tokens", "ids", "decoded"][: len(columns)])
 
     plain = _keyed(docs, key, text)
     kind = plain.schema["key"].dataType.simpleString()
-    return plain.mapInArrow(run, f"key {kind}, n_tokens long, ids binary").withColumnRenamed("key", key)
+    return plain.mapInArrow(run, f"key {kind}, n_tokens long, ids binary" + ", decoded string" * decoded).withColumnRenamed("key", key)
 
 
 def decode(encoded: DataFrame, tokenizer_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -140,7 +183,7 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids: str = "ids", out: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        tokens = WordVocabulary(tokenizer_path).tokens
+        tokens = vocabulary(tokenizer_path).tokens
         for batch in batches:
             texts = [" ".join(map(tokens.__getitem__, np.frombuffer(raw or b"", dtype="<u4").tolist())) for raw in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*kept, out])

@@ -10,8 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidentia.llm.bpe import TOGETHER, Memo
-from evidentia.llm.words import WordVocabulary, chunks
+from evidentia.llm.bpe import memo_of, portions
 from evidentia.session import cut
 
 SEQUENCE = 2048
@@ -41,6 +40,28 @@ def knapsack(values: np.ndarray) -> tuple[float, np.ndarray]:
     return float(best[n]), counts
 
 
+def times_vector(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """matrix @ vector without a linear-algebra library, whose threads may hang in a process that has forked the JVM's launcher."""
+    return (matrix * vector).sum(axis=1)
+
+
+def inverse_of(columns: np.ndarray) -> np.ndarray:
+    """The inverse by elimination with row exchanges, for the same reason in plain array operations."""
+    m = len(columns)
+    left, right = columns.astype(float), np.eye(m)
+    for k in range(m):
+        top = k + int(np.argmax(np.abs(left[k:, k])))
+        for side in (left, right):
+            side[[k, top]] = side[[top, k]]
+        scale = left[k, k]
+        left[k], right[k] = left[k] / scale, right[k] / scale
+        factor = left[:, k].copy()
+        factor[k] = 0.0
+        left -= np.outer(factor, left[k])
+        right -= np.outer(factor, right[k])
+    return right
+
+
 def solve_patterns(demand: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """(sequences, items per class) that use every item once, from the linear program's rounded optimum.
 
@@ -56,18 +77,18 @@ def solve_patterns(demand: np.ndarray) -> list[tuple[int, np.ndarray]]:
     columns = np.diag(fit.astype(float))
     inverse = np.diag(1.0 / fit)
     amount = demand[have] / fit
-    least = demand @ np.arange(1, units + 1) / units  # no packing has fewer sequences
+    least = (demand * np.arange(1, units + 1)).sum() / units  # no packing has fewer sequences
     for step in range(40 * m):
         if amount.sum() <= least * (1 + GAP):
             break
         prices = np.zeros(units)
-        prices[have] = np.ones(m) @ inverse
+        prices[have] = inverse.sum(axis=0)
         value, counts = knapsack(np.maximum(prices, 0.0))
         counts = counts * (demand > 0)
-        if prices[have] @ counts[have] <= 1 + 1e-7:
+        if (prices[have] * counts[have]).sum() <= 1 + 1e-7:
             break
         entering = counts[have].astype(float)
-        direction = inverse @ entering
+        direction = times_vector(inverse, entering)
         ok = direction > 1e-9
         if not ok.any():
             break
@@ -81,14 +102,14 @@ def solve_patterns(demand: np.ndarray) -> list[tuple[int, np.ndarray]]:
         inverse -= np.outer(direction, pivot)
         inverse[leave] = pivot
         if step % 200 == 199:  # shed rounding errors
-            inverse = np.linalg.inv(columns)
-            amount = np.maximum(inverse @ demand[have], 0.0)
+            inverse = inverse_of(columns)
+            amount = np.maximum(times_vector(inverse, demand[have]), 0.0)
     times = np.floor(amount + 1e-6).astype(np.int64)
-    left = demand[have] - (columns @ times).astype(np.int64)
+    left = demand[have] - times_vector(columns, times).astype(np.int64)
     while (left < 0).any():  # a count rounded up too far
         k = int(np.flatnonzero((columns[np.flatnonzero(left < 0)[0]] > 0) & (times > 0))[0])
         times[k] -= 1
-        left = demand[have] - (columns @ times).astype(np.int64)
+        left = demand[have] - times_vector(columns, times).astype(np.int64)
     out = []
     for k in np.flatnonzero(times):
         counts = np.zeros(units, dtype=np.int64)
@@ -117,16 +138,14 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: s
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(WordVocabulary(tokenizer_path))
+        memo = memo_of(tokenizer_path)
         end = end_id.to_bytes(4, "little")
         for batch in batches:
-            for at in range(0, batch.num_rows, TOGETHER):
-                part = batch.slice(at, TOGETHER)
-                split = [chunks(t) for t in part.column(1).to_pylist()]
+            for part, split in portions(batch):
                 memo.learn(set().union(*split))
                 rows: list[list] = [[], [], [], [], [], []]
                 for k, chunks_ in enumerate(split):
-                    ids = b"".join(map(memo.__getitem__, chunks_)) + end
+                    ids = b"".join(map(memo.ids.__getitem__, chunks_)) + end
                     total = len(ids) // 4
                     for start in range(0, total, SEQUENCE):
                         raw = ids[4 * start : 4 * (start + SEQUENCE)]

@@ -37,10 +37,9 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from evidentia.llm.bpe import decode, encode
+    from evidentia.llm.bpe import encode
 
-    path = tokenizer_path()
-    coded = decode(encode(table(spark, sf_dir, "documents"), path), path)
+    coded = encode(table(spark, sf_dir, "documents"), tokenizer_path(), decoded=True)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -37,15 +37,16 @@ def _classes() -> tuple[str, ...]:
 
 @lru_cache(maxsize=2)
 def _pattern(wide: bool) -> re.Pattern:
+    """The vocabulary's split; a line feed, which parts chunks that are split together, is a piece of its own."""
     letters, numbers = _classes()[:2] if wide else _classes()[2:4]
-    return re.compile(f"[{letters}]+|'(?:[stmd]|re|ve|ll)|[{numbers}]|[^{SPACES}{letters}{numbers}]+")
+    return re.compile(f"[{letters}]+|\n|'(?:[stmd]|re|ve|ll)|[{numbers}]|[^{SPACES}{letters}{numbers}]+")
 
 
 _ASTRAL = re.compile("[\U00010000-\U0010ffff]")
 
 
 def split_words(text: str) -> list[str]:
-    """NFC, lower case by single characters, then the vocabulary's split; white space is dropped."""
+    """NFC, lower case by single characters, then the vocabulary's split; white space but line feeds is dropped."""
     if not text.isascii():
         text = unicodedata.normalize("NFC", text)
         if "Σ" in text:
@@ -87,6 +88,12 @@ def _char_bytes() -> dict[str, int]:
     return {c: b for b, c in enumerate(byte_chars())}
 
 
+@lru_cache(maxsize=2)
+def vocabulary(path: str) -> WordVocabulary:
+    """The tokenizer file's vocabulary, read once in each worker process."""
+    return WordVocabulary(path)
+
+
 class WordVocabulary:
     """Ids, merges and special strings read from a tokenizer file."""
 
@@ -121,11 +128,21 @@ class WordVocabulary:
             out.extend([part] if part in self.special else self._words(part))
         return out
 
+    def pieces_together(self, chunks_: list[str]) -> list[str]:
+        """The pieces of many chunks in order, with a line feed before each chunk's own; nothing crosses a line feed."""
+        text = "\n".join(["", *chunks_])
+        odd = "<|" in text if self._angled else any(s in text for s in self.special)
+        if not odd and (text.isascii() or not (_ASTRAL.search(text) or _unassigned(False).search(text))):
+            return split_words(text)
+        if len(chunks_) < 64:
+            return [p for c in chunks_ for p in ("\n", *self.pieces(c))]
+        size = -(-len(chunks_) // 16)  # the odd chunks are few
+        return [p for at in range(0, len(chunks_), size) for p in self.pieces_together(chunks_[at : at + size])]
+
     def _words(self, text: str) -> list[str]:
-        if text.isalpha() and text.isascii():
-            return [text.lower()]
         if text.isascii() or not _unassigned(_ASTRAL.search(text) is not None).search(text):
-            return split_words(text)
+            words = split_words(text)
+            return [w for w in words if w != "\n"] if "\n" in text else words
         parts = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
         return [bytes(map(_char_bytes().__getitem__, part)).decode("utf-8") for part, _ in parts]
 

@@ -133,3 +133,29 @@ def test_knapsack_matches_brute_force():
     values = np.array([0.1, 0.35, 0.3, 0.75, 0.8])
     best, counts = packing.knapsack(values)
     assert counts @ np.arange(1, 6) <= 5 and abs(values @ counts - best) < 1e-9 and abs(best - 0.85) < 1e-9
+
+
+def test_inverse_matches_the_identity():
+    rng = np.random.default_rng(3)
+    matrix = rng.integers(0, 5, (40, 40)).astype(float) + 9 * np.eye(40)[::-1]
+    product = (matrix[:, :, None] * packing.inverse_of(matrix)[None]).sum(axis=1)
+    assert np.abs(product - np.eye(40)).max() < 1e-8
+
+
+def test_patterns_after_a_session_has_started(spark):
+    """The solver ends on the driver beside a running JVM; it hung there once."""
+    import threading
+
+    demand = np.random.default_rng(1).integers(0, 400, 256)
+    plans = []
+    worker = threading.Thread(target=lambda: plans.append(packing.solve_patterns(demand)), daemon=True)
+    worker.start()
+    worker.join(120)
+    assert plans and (sum(times * counts for times, counts in plans[0]) == demand).all()
+
+
+def test_fused_decoding_equals_decode(spark):
+    docs = spark.createDataFrame(list(enumerate([*ODD, None])), "doc_id long, text string")
+    fused = {r.doc_id: (bytes(r.ids), r.decoded) for r in encode(docs, PATH, lexicon_words=8, decoded=True).collect()}
+    apart = {r.doc_id: (bytes(r.ids), r.decoded) for r in decode(encode(docs, PATH, lexicon_words=8), PATH).collect()}
+    assert fused == apart
