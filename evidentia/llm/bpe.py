@@ -23,7 +23,7 @@ from evidentia.session import stored
 #: Words in the lexicon; the rest are merged when they are met.
 LEXICON_WORDS = 65_536
 #: Chunks and words that a worker remembers before it starts afresh, and the longest that it keeps; bounds memory, never results.
-MEMO_CHUNKS, MEMO_WORDS, KEPT = 250_000, 500_000, 64
+MEMO_CHUNKS, MEMO_WORDS, KEPT = 200_000, 400_000, 64
 #: Distinct chunks counted before a worker hands on what it has.
 COUNTED = 100_000
 #: Characters of documents whose new words are looked up and merged together.
@@ -38,6 +38,7 @@ class Memo:
         self.ids: dict[str, bytes] = {}
         self.texts: dict[str, str] = {}
         self.words: dict[str, bytes] = {}
+        self.long: list[str] = []
 
     def learn(self, chunks_: set[str]) -> None:
         """Look up all the new chunks' words in one walk of the lexicon and merge the others."""
@@ -48,6 +49,7 @@ class Memo:
             new = list(chunks_)
         if len(self.words) > MEMO_WORDS or not self.words:
             self.words = {w: i.to_bytes(4, "little") for w, i in self.vocabulary.special.items()} | {"\n": b""}
+        self.long += [c for c in new if len(c) > KEPT]
         pieces = self.vocabulary.pieces_together(new)
         words = list(set(pieces).difference(self.words))
         if self.lexicon and words:
@@ -68,10 +70,14 @@ class Memo:
             self.texts.update(zip(new, (" ".join([tokens[i] for i in memoryview(r).cast("I")]) for r in own)))
 
     def shed(self) -> None:
-        """Forget what is too long to be kept."""
-        for held in (self.ids, self.texts, self.words):
-            for long in [c for c in held if len(c) > KEPT]:
-                del held[long]
+        """Forget what is too long to be kept, once its document is done."""
+        for chunk in self.long:
+            self.ids.pop(chunk, None)
+            self.texts.pop(chunk, None)
+            for word in self.vocabulary.pieces(chunk):
+                if len(word) > KEPT:
+                    self.words.pop(word, None)
+        self.long = []
 
 
 @lru_cache(maxsize=1)
@@ -164,9 +170,11 @@ def encode(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str
             for part, split in portions(batch):
                 memo.learn(set().union(*split))
                 ids = [b"".join(map(memo.ids.__getitem__, c)) for c in split]
+                texts = [" ".join(map(memo.texts.__getitem__, c)) for c in split] if decoded else []
+                memo.shed()
                 columns = [part.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())]
                 if decoded:
-                    columns.append(pa.array([" ".join(map(memo.texts.__getitem__, c)) for c in split], pa.string()))
+                    columns.append(pa.array(texts, pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, ["key", "n_tokens", "ids", "decoded"][: len(columns)])
 
     plain = _keyed(docs, key, text)

@@ -7,7 +7,9 @@ import re
 from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import groupby
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +22,10 @@ SWITCH = 9.0
 SCRIPT_SHARE = 0.005
 #: Weight of the shorter context, in counts.
 BACKOFF = 2.0
-#: Chunks a worker remembers; bounds memory only.
-MEMO_WORDS = 300_000
+#: Chunks and letter groups a worker remembers, the chunks between two looks at that bound, and the longest chunk remembered; they bound memory only.
+MEMO_WORDS, MEMO_GRAMS, LOOK, KEPT = 100_000, 100_000, 10_000, 64
+#: Least share of a document's letters that its language must hold to be kept.
+KEEP = 0.5
 
 #: First code point of each script range, in order; the last range runs to the end.
 SCRIPTS = [
@@ -46,7 +50,11 @@ def script_of(char: str) -> str:
 
 
 def words_of(chunk: str) -> list[str]:
-    return _LETTERS.findall(chunk.lower())
+    """Runs of letters; digits, fractions and other numerals are none."""
+    found = _LETTERS.findall(chunk.lower())
+    if chunk.isascii():
+        return found
+    return [word for run in found for word in ([run] if run.isalpha() else ("".join(g) for letters, g in groupby(run, str.isalpha) if letters))]
 
 
 class LetterModel:
@@ -83,6 +91,8 @@ class LetterModel:
                     total = self.totals[lang].get(context, 0)
                     p = (self.counts[lang][context][gram[2]] + BACKOFF * p) / (total + BACKOFF) if total else p
                 row.append(math.log(p))
+            if len(self.memo) >= MEMO_GRAMS:
+                self.memo.clear()
             self.memo[gram] = got = tuple(row)
         return got
 
@@ -103,19 +113,21 @@ class Labeller(dict):
         self.model = model
 
     def __missing__(self, chunk: str):
-        words = words_of(chunk)
-        if not words:
-            self[chunk] = None
-            return None
-        scores = [sum(column) for column in zip(*map(self.model.score, words))]
-        self[chunk] = got = (scores.index(max(scores)), scores, sum(map(len, words)))
+        words, got = words_of(chunk), None
+        if words:
+            scores = tuple(map(sum, zip(*map(self.model.score, words))))
+            got = (scores.index(max(scores)), scores, sum(map(len, words)))
+        if len(chunk) <= KEPT:
+            self[chunk] = got
         return got
 
     def label(self, chunks: list[str]) -> tuple[list, list[int]]:
         """Items with letters and each one's language on the best path."""
-        if len(self) > MEMO_WORDS:
-            self.clear()
-        items = [x for x in map(self.__getitem__, chunks) if x is not None]
+        items: list = []
+        for at in range(0, len(chunks), LOOK):  # the bound holds within a long text too
+            if len(self) > MEMO_WORDS:
+                self.clear()
+            items += [x for x in map(self.__getitem__, chunks[at : at + LOOK]) if x is not None]
         return items, best_path(items, len(self.model.languages))
 
 
@@ -169,6 +181,17 @@ def best_path(items: list, n_langs: int, switch: float = SWITCH) -> list[int]:
     return out
 
 
+def verdict(labeller: Labeller, text: str | None) -> tuple[str, float, list[int]]:
+    """The language with most letters on the best path, its share of all letters, and the path."""
+    languages = labeller.model.languages
+    items, path = labeller.label(text.split()) if languages and text else ([], [])
+    letters = [0] * len(languages)
+    for item, k in zip(items, path):
+        letters[k] += item[2]
+    most = max(letters, default=0)
+    return (languages[letters.index(most)], most / sum(letters), path) if most else ("und", 0.0, path)
+
+
 def _crc(key: str):
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
 
@@ -219,13 +242,9 @@ def identify(docs: DataFrame, model: LetterModel, key: str = "doc_id", text: str
         for batch in batches:
             preds, scores, runs = [], [], []
             for value in batch.column(1):
-                items, path = labeller.label(value.as_py().split()) if languages and value.is_valid else ([], [])
-                letters = [0] * len(languages)
-                for item, k in zip(items, path):
-                    letters[k] += item[2]
-                most = max(letters, default=0)
-                preds.append(languages[letters.index(most)] if most else "und")
-                scores.append(most / sum(letters) if most else 0.0)
+                pred, score, path = verdict(labeller, value.as_py())
+                preds.append(pred)
+                scores.append(score)
                 if spans:
                     cuts = [i for i in range(len(path)) if i == 0 or path[i] != path[i - 1]]
                     runs.append([{"first": a, "end": b, "lang": languages[path[a]]} for a, b in zip(cuts, [*cuts[1:], len(path)])])
@@ -240,19 +259,23 @@ def identify(docs: DataFrame, model: LetterModel, key: str = "doc_id", text: str
     return plain.mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
-def keep_identified(docs: DataFrame, model: LetterModel, text: str = "text") -> DataFrame:
-    """The rows whose text has a letter, and so a language; all columns pass through unchanged and nothing is shuffled."""
+def keep_identified(docs: DataFrame, model: LetterModel, text: str = "text", least: float = KEEP) -> DataFrame:
+    """The rows whose predicted language holds at least `least` of their letters; all columns pass through unchanged and nothing is shuffled.
+
+    Null texts, texts without a letter, and texts in which no language holds so much go. A model without languages
+    rejects only what has no letter. Only the text passes through Python.
+    """
     if not model.languages:
         return docs.where(F.col(text).rlike(r"\p{L}"))
-    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         labeller = Labeller(shared.value)
         for batch in batches:
-            kept = [value.is_valid and bool(labeller.label(value.as_py().split())[0]) for value in batch.column(at)]
-            yield batch.filter(pa.array(kept, pa.bool_()))
+            yield pd.Series([verdict(labeller, value)[1] for value in batch], dtype="float64")
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(score(F.col(text)) >= least)
 
 
 def predict(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

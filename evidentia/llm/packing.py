@@ -155,6 +155,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: s
                 longs = [pa.array(c, pa.int64()) for c in rows[1:5]]
                 names = ["key", "start", "length", "ids_crc32", "doc_tokens"]
                 extra = [pa.array(rows[5], pa.binary())] if keep_ids else []
+                memo.shed()
                 yield pa.RecordBatch.from_arrays([keys, *longs, *extra], names + ["ids"] * keep_ids)
 
     plain = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
