@@ -14,22 +14,35 @@ from evidentia.session import stored
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language, that is null or without a letter, go."""
+    """Documents go whose predicted language holds less than half of their letters, as do null texts and those without a letter.
+
+    The model is fitted on `docs` itself; extra columns, repeated rows and null keys pass through unchanged, an
+    empty table gives an empty one.
+    """
     return keep_identified(docs, fit(docs))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every text loses the lines that another place keeps; n_chars follows the text."""
-    return dedup_lines(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    """Every text loses the lines that another place keeps; n_chars, where there is one, follows the text.
+
+    Every row stays, with an empty text at worst; null texts stay null, and of repeated rows the first keeps its lines.
+    """
+    kept = dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return kept.select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, the one with the smallest doc_id."""
+    """One document of each near-duplicate group stays, the one with the smallest doc_id; empty and null texts are one group.
+
+    Rows with a null doc_id stay; rows that repeat the smallest doc_id stay with it.
+    """
     return keep_first(docs)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The remaining documents as pieces of token sequences."""
+    """The remaining documents as pieces of token sequences; an empty text is its end id alone."""
     return pack(docs, tokenizer_path())
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Query parameters that only track; a bare `ref` stays.
-TRACKING = ["utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "utm_id", "gclid", "fbclid", "mc_cid", "mc_eid"]
+#: Query parameters that only track, in any case, besides all that open with utm_; a bare `ref` stays.
+TRACKING = ["fbclid", "gclid", "gbraid", "wbraid", "msclkid", "mc_eid", "mc_cid", "igshid", "ref_src", "ref_url", "spm", "yclid", "_ga", "_gl"]
 #: Ports that a scheme implies.
 DEFAULT_PORTS = {"http": "80", "https": "443"}
 #: Fixed value: the address of an archived capture; group 1 is its timestamp.
@@ -15,6 +15,10 @@ ARCHIVE = r"(?i)^https?://web\.archive\.org/web/(\d{8,14})(?:id_)?/"
 _URL = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?"
 
 
+def _tracks(name: Column) -> Column:
+    return name.isin(TRACKING) | (name.startswith("utm_") & (F.length(name) > 4) & ~name.rlike("[^a-z_]"))
+
+
 def normalize(url: Column) -> Column:
     """One spelling per page: https where no scheme is given, scheme and host lower, default port, fragment and
     tracking parameters dropped, the other parameters sorted, no trailing slash but on the root. Blank gives null."""
@@ -26,7 +30,7 @@ def normalize(url: Column) -> Column:
     host = F.lower(F.regexp_replace(place, r"^.*@", ""))
     for name, port in DEFAULT_PORTS.items():
         host = F.when(scheme == name, F.regexp_replace(host, f":{port}$", "")).otherwise(host)
-    kept = F.array_sort(F.filter(F.split(part(4), "&"), lambda p: (p != "") & ~F.split_part(p, F.lit("="), F.lit(1)).isin(TRACKING)))
+    kept = F.array_sort(F.filter(F.split(part(4), "&"), lambda p: (p != "") & ~_tracks(F.lower(F.split_part(p, F.lit("="), F.lit(1))))))
     query = F.array_join(kept, "&")
     path = F.when(part(3).isin("", "/"), "/").otherwise(F.regexp_replace(part(3), r"/+$", ""))
     return F.when(trimmed != "", F.concat(scheme, F.lit("://"), user, host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")))

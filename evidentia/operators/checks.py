@@ -82,4 +82,98 @@ def schema_mismatch(real: DataFrame, stub: DataFrame) -> DataFrame:
     a, b = ([(f.name, f.dataType.simpleString()) for f in df.schema.fields] for df in (real, stub))
     longest = max(len(a), len(b))
     pad = lambda x: x + [None] * (longest - len(x))
-    return spark.createDataFrame([(f"{x} <> {y}",) for x, y in zip(pad(a), pad(b)) if x != y], "detail string")
+    shown = lambda x: " ".join(x) if x else "nothing"
+    return spark.createDataFrame([(f"{shown(x)} <> {shown(y)}",) for x, y in zip(pad(a), pad(b)) if x != y], "detail string")
+
+
+def disagreeing(df: DataFrame, pairs: list[tuple[str, str]], detail: str) -> DataFrame:
+    """Rows where a parsed value is present and differs from its typed column."""
+    off = F.lit(False)
+    for parsed, typed in pairs:
+        off = off | (F.col(parsed).isNotNull() & ~F.col(parsed).eqNullSafe(F.col(typed)))
+    return df.where(off).select(F.col(detail).cast("string").alias("detail"))
+
+
+def count_differs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """One row with both counts if two relations differ in their number of rows."""
+    a, b = left.agg(F.count("*").alias("a")), right.agg(F.count("*").alias("b"))
+    return a.crossJoin(b).where("a <> b").select(F.concat_ws(" <> ", "a", "b").alias("detail"))  # one row each
+
+
+def columns_like(df: DataFrame, pattern: str, known: tuple[str, ...] = ()) -> DataFrame:
+    """Columns whose name matches a regular expression and is not in a vocabulary."""
+    rows = schema_rows({"relation": df}).where(F.col("column_name").rlike(pattern))
+    return (rows.where(~F.col("column_name").isin(*known)) if known else rows).select(F.col("column_name").alias("detail"))
+
+
+def unmapped(df: DataFrame, column: str, rules: DataFrame, rule_column: str) -> DataFrame:
+    """Values without a rule, grouped, with how often they occur."""
+    r = rules.select(F.col(rule_column).alias("_r")).distinct()
+    left = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    return left.join(r, F.col(column) == F.col("_r"), "left_anti").select(F.concat_ws(": ", F.col(column).cast("string"), "n").alias("detail"))
+
+
+def uncovered_branches(vocabulary: DataFrame, name: str, pattern: str, needles: str) -> DataFrame:
+    """Top-level alternatives of a pattern that hold none of its literals, and literals that are not lower case.
+
+    Groups are emptied first, innermost first, so that only bars outside of them part alternatives.
+    """
+    flat = F.regexp_replace(F.regexp_replace(F.col(pattern), r"\([^()]*\)", ""), r"\([^()]*\)", "")
+    bare = lambda b: ~F.exists(F.col(needles), lambda n: F.contains(F.lower(b), n))
+    found = F.concat(F.filter(F.split(flat, r"\|"), bare), F.filter(F.col(needles), lambda n: n != F.lower(n)))
+    return vocabulary.select(F.col(name).cast("string").alias("name"), F.explode(found).alias("part")).select(F.concat_ws(": ", "name", "part").alias("detail"))
+
+
+def pair_unconfirmed(pairs: DataFrame, rows: DataFrame, key: str, same: list[str]) -> DataFrame:
+    """Listed pairs (a, b) whose rows do not agree on the given columns, or of which one is missing."""
+    side = lambda s: rows.select(F.col(key).alias(s), F.struct(*same).alias(f"_{s}"))
+    met = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    agree = F.coalesce(F.col("_a") == F.col("_b"), F.lit(False))
+    return met.where(~agree).select(F.concat_ws(" = ", F.col("a").cast("string"), F.col("b").cast("string")).alias("detail"))
+
+
+def missing_from_all(df: DataFrame, key: str, others: list[tuple[DataFrame, str]]) -> DataFrame:
+    """Keys that none of the other relations has."""
+    left = df.where(F.col(key).isNotNull()).select(F.col(key).alias("_k")).distinct()
+    for other, column in others:
+        left = left.join(other.select(F.col(column).alias("_o")).distinct(), F.col("_k") == F.col("_o"), "left_anti")
+    return left.select(F.col("_k").cast("string").alias("detail"))
+
+
+def listed_values(df: DataFrame, key: str, values: str, vocabulary: list[str]) -> DataFrame:
+    """Distinct elements of a list column outside a vocabulary, with the number of rows that hold them."""
+    each = df.select(key, F.explode(F.array_distinct(values)).alias("v")).where(~F.col("v").isin(vocabulary))
+    return each.groupBy("v").agg(F.count("*").alias("n")).select(F.concat_ws(": ", "v", "n").alias("detail"))
+
+
+def still_sentinel(df: DataFrame, key: str, column: str, sentinels: list) -> DataFrame:
+    """Rows that still hold a value which stands for nothing."""
+    return df.where(F.col(column).isin(sentinels)).select(F.col(key).cast("string").alias("detail"))
+
+
+def unlayered(relations: DataFrame, name: str, layers: list[str]) -> DataFrame:
+    """Relations outside the named layers."""
+    layer = F.when(F.contains(F.col(name), F.lit(".")), F.split_part(F.col(name), F.lit("."), F.lit(1))).otherwise("")
+    return relations.where(~layer.isin(layers)).select(F.col(name).alias("detail"))
+
+
+def part_counts_differ(df: DataFrame, key: str, first: str, second: str, mark: str = "\f") -> DataFrame:
+    """Rows whose two texts have different numbers of parts."""
+    parts = lambda c: F.size(F.split(F.coalesce(F.col(c), F.lit("")), mark))
+    return df.where(F.col(first).isNotNull() & F.col(second).isNotNull() & (parts(first) != parts(second))).select(F.col(key).cast("string").alias("detail"))
+
+
+def round_trip_broken(df: DataFrame, key: str, marked: str, stored: str, marks: str) -> DataFrame:
+    """Rows whose marked text is not the stored text once the marks are gone."""
+    return df.where(~F.translate(F.col(marked), marks, "").eqNullSafe(F.col(stored))).select(F.col(key).cast("string").alias("detail"))
+
+
+def blank(df: DataFrame, key: str, column: str) -> DataFrame:
+    return df.where(F.coalesce(F.trim(F.col(column)), F.lit("")) == "").select(F.col(key).cast("string").alias("detail"))
+
+
+def index_drift(rows: DataFrame, key: str, indexed: DataFrame, indexed_key: str) -> DataFrame:
+    """Keys that only the table or only its index has."""
+    a = rows.select(F.col(key).alias("k"), F.lit(1).alias("here"))
+    b = indexed.select(F.col(indexed_key).alias("k"), F.lit(1).alias("there")).distinct()
+    return a.join(b, "k", "full_outer").where("here is null or there is null").select(F.concat_ws(" ", F.when(F.col("here").isNull(), "not stored").otherwise("not indexed"), F.col("k").cast("string")).alias("detail"))

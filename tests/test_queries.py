@@ -3,10 +3,11 @@
 import duckdb
 import pytest
 
-from evidentia.plans import catalog, corpus
+from evidentia.plans import MODULES, catalog
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES, ORACLES = {**catalog.QUERIES, **corpus.QUERIES}, {**catalog.ORACLES, **corpus.ORACLES}
+QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
+ORACLES = {k: v for m in MODULES for k, v in m.ORACLES.items()}
 
 
 @pytest.fixture(scope="module")
