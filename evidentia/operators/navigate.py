@@ -55,9 +55,10 @@ def page_blocks(lines: DataFrame, key: str = "url") -> DataFrame:
 def sections(lines: DataFrame, key: str = "url") -> DataFrame:
     """(key, heading, level, line_no, end_line, chars): a section ends before the next heading of its level or above."""
     heads = lines.where("heading is not null").select(key, "line_no", "heading", "level")
-    after = Window.partitionBy(key).orderBy("line_no").rowsBetween(1, Window.unboundedFollowing)
-    later = heads.withColumn("later", F.collect_list(F.struct("line_no", "level")).over(after))
-    end = F.get(F.filter("later", lambda h: h["level"] <= F.col("level")), 0)["line_no"]
+    # read from the end, the nearest later heading of each level or above is a running value
+    ahead = Window.partitionBy(key).orderBy(F.desc("line_no")).rowsBetween(Window.unboundedPreceding, -1)
+    later = heads.select("*", *(F.last(F.when(F.col("level") <= n, F.col("line_no")), True).over(ahead).alias(f"after{n}") for n in range(1, 7)))
+    end = F.coalesce(*(F.when(F.col("level") == n, F.col(f"after{n}")) for n in range(1, 7)))
     bounded = later.select(key, "heading", "level", "line_no", end.alias("stop"))
     ends = lines.groupBy(key).agg(F.max("line_no").alias("last_line"))
     spans = bounded.join(ends, key).select(key, "heading", "level", "line_no", F.coalesce(F.col("stop") - 1, F.col("last_line")).alias("end_line"))

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidentia.functions.text import tokens
+from evidentia.session import cut
 
 #: Fixed values of the ranking function: saturation, length normalisation, and the least inverse document frequency.
 K1, B, LEAST_IDF = 1.2, 0.75, 1e-6
@@ -32,17 +33,74 @@ def _starts(phrase: list[str]):
     return test
 
 
+def tokenised(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, tokens). The generator keeps Spark from tokenising anew wherever the tokens are used."""
+    return docs.select(key, F.explode(F.array(tokens(F.coalesce(F.col(text), F.lit(""))))).alias("tokens"))
+
+
 def phrase_hits(docs: DataFrame, phrases: list[list[str]], key: str, text: str) -> DataFrame:
-    """(key, length, tf0, tf1, ...): how often each phrase of folded tokens occurs, for documents that have them all.
+    """(key, length, tf0, tf1, ...): how often each phrase of folded tokens occurs in each document.
+
+    Terms are few and known, so they are tested in one scan without an index; every text is tokenised once.
+    """
+    counts = [F.size(F.filter("tokens", _starts(phrase))).alias(f"tf{k}") for k, phrase in enumerate(phrases)]
+    return tokenised(docs, key, text).select(key, F.size("tokens").alias("length"), *counts)
+
+
+def postings_phrase(index: DataFrame, phrase: list[str], key: str) -> DataFrame:
+    """(key, n) from postings: documents where the phrase's terms stand at consecutive positions.
 
-    Terms are few and known, so they are tested in one scan without an index: a literal prefilter, then the tokens.
+    Each term is one filter on the index, which a table partitioned or sorted by term answers without the rest.
     """
-    lower = F.lower(F.coalesce(F.col(text), F.lit("")))
-    toks = docs.select(key, tokens(lower).alias("tokens"))
-    counts = []
-    for k, phrase in enumerate(phrases):
-        counts.append(F.size(F.filter("tokens", _starts(phrase))).alias(f"tf{k}"))
-    return toks.select(key, F.size("tokens").alias("length"), *counts)
+    met = None
+    for j, term in enumerate(phrase):
+        one = index.where(F.col("term") == term).select(key, F.transform("positions", lambda p: p - j).alias(f"p{j}"))
+        met = one if met is None else met.join(one, key).select(key, F.array_intersect("p0", f"p{j}").alias("p0"))
+    return met.select(key, F.size("p0").cast("long").alias("n")).where("n > 0")
+
+
+def match_regions(docs: DataFrame, phrases: list[list[str]], key: str, text: str) -> DataFrame:
+    """(key, regions): marked regions of any phrase, overlapping ones merged to one; documents without a match are left out."""
+    toks = tokenised(docs, key, text)
+
+    def found(phrase: list[str]) -> Column:
+        at = F.transform("tokens", lambda t, i: F.when(_starts(phrase)(t, i), F.struct(i.alias("a"), (i + len(phrase)).alias("b"))))
+        return F.filter(at, lambda x: x.isNotNull())
+
+    spans = [found(phrase) for phrase in phrases]
+    marked = toks.select(key, F.array_sort(F.concat(*spans)).alias("spans")).where(F.size("spans") > 0)
+    start = F.struct(F.lit(-1).alias("end"), F.lit(0).alias("n"))
+    folded = F.aggregate("spans", start, lambda s, x: F.struct(F.greatest(s["end"], x["b"]).alias("end"), (s["n"] + (x["a"] >= s["end"]).cast("int")).alias("n")))
+    return marked.select(key, folded["n"].cast("long").alias("regions"))
+
+
+def snippet(docs: DataFrame, terms: list[str], key: str, text: str, width: int = 12) -> DataFrame:
+    """(key, snippet): the first window of `width` tokens with most matched tokens, these in brackets, what is left out as an ellipsis."""
+    toks = tokenised(docs, key, text)
+    marked = toks.select(key, F.transform("tokens", lambda t: F.when(t.isin(terms), F.concat(F.lit("["), t, F.lit("]"))).otherwise(t)).alias("shown"), F.transform("tokens", lambda t: t.isin(terms).cast("int")).alias("hits"))
+    running = marked.where(F.array_contains("hits", 1))
+    last = F.greatest(F.size("shown") - width, F.lit(0))
+    held = lambda i: F.aggregate(F.slice("hits", i + 1, F.lit(width)), F.lit(0), lambda n, h: n + h)
+    best = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(held(i).alias("n"), (-i).alias("i")))
+    chosen = running.withColumn("at", -F.array_max(best)["i"])
+    body = F.array_join(F.slice("shown", F.col("at") + 1, F.lit(width)), " ")
+    return chosen.select(key, F.concat(F.when(F.col("at") > 0, "… ").otherwise(""), body, F.when(F.col("at") + width < F.size("shown"), " …").otherwise("")).alias("snippet"))
+
+
+def line_tokens(lines: DataFrame, key: str, *columns: str) -> DataFrame:
+    """(key, columns, at, token): the tokens of a line table at their places in the document."""
+    order = Window.partitionBy(key).orderBy("line_no")
+    counted = lines.select(key, "line_no", *columns, F.explode(F.array(tokens(F.col("line")))).alias("tokens"))
+    counted = counted.withColumn("start", F.sum(F.size("tokens")).over(order) - F.size("tokens"))
+    return counted.select(key, *columns, F.posexplode("tokens").alias("p", "token"), "start").select(key, *columns, (F.col("start") + F.col("p")).alias("at"), "token")
+
+
+def matched_regions(lines: DataFrame, phrase: list[str], key: str, regions: list[str]) -> DataFrame:
+    """(key, regions, matches): where a phrase occurs, by the region that each match starts in; a match may run over line ends."""
+    each = line_tokens(lines, key, *regions)
+    following = Window.partitionBy(key).orderBy("at")
+    ahead = reduce(lambda a, b: a & b, ((F.col("token") == w) if j == 0 else F.coalesce(F.lead("token", j).over(following) == w, F.lit(False)) for j, w in enumerate(phrase)))
+    return each.withColumn("hit", ahead).where("hit").groupBy(key, *regions).agg(F.count("*").alias("matches"))
 
 
 def bm25(docs: DataFrame, phrases: list[list[str]], key: str, text: str) -> DataFrame:
@@ -50,7 +108,7 @@ def bm25(docs: DataFrame, phrases: list[list[str]], key: str, text: str) -> Data
 
     idf = ln((N - n + 0.5) / (n + 0.5)), at least LEAST_IDF; lengths and N are those of the whole space.
     """
-    hits = phrase_hits(docs, phrases, key, text)
+    hits = cut(phrase_hits(docs, phrases, key, text))  # counts alone, so that the statistics don't tokenise anew
     n = len(phrases)
     stats = hits.agg(F.count("*").alias("n_docs"), F.avg("length").alias("avg_length"), *(F.count_if(F.col(f"tf{k}") > 0).alias(f"df{k}") for k in range(n)))
     every = reduce(lambda a, b: a & b, ((F.col(f"tf{k}") > 0) for k in range(n)))

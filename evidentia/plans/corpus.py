@@ -103,16 +103,20 @@ def quote_hits(spark, sf):
 
 
 def _marked(spark, sf):
-    """Documents with headings and pages made from their lines: every fifth line a heading, every eighth a page end."""
-    lines = F.transform(F.split("text", "\n"), lambda l, i: F.when(i % 5 == 0, F.concat(F.repeat(F.lit("#"), i % 3 + 1), F.lit(" "), F.substring(l, 1, 20))).when(i % 8 == 7, F.lit("\f")).otherwise(l))
-    docs = table(spark, sf, "documents").select("doc_id", F.array_join(lines, "\n").alias("text"))
+    """Documents with headings and pages put between their lines: a heading before every fifth, a page end after every eighth."""
+    extra = lambda l, i: F.concat(
+        F.when(i % 5 == 0, F.array(F.concat(F.repeat(F.lit("#"), F.floor(i / 5).cast("int") % 3 + 1), F.lit(" "), F.substring(l, 1, 20)))).otherwise(F.array().cast("array<string>")),
+        F.array(l), F.when(i % 8 == 7, F.array(F.lit("\f"))).otherwise(F.array().cast("array<string>")),
+    )
+    docs = table(spark, sf, "documents").select("doc_id", F.array_join(F.flatten(F.transform(F.split("text", "\n"), extra)), "\n").alias("text"))
     return navigate.lines_table(docs, "doc_id")
 
 
 _LINES = r"""
-l0 as (select doc_id, unnest(range(len(string_split(text, chr(10))))) as line_no, unnest(string_split(text, chr(10))) as raw from documents),
-l1 as (select doc_id, line_no, case when line_no % 5 = 0 then repeat('#', (line_no % 3 + 1)::int) || ' ' || raw[1:20] when line_no % 8 = 7 then chr(12) else raw end as line from l0),
-l2 as (select *, case when line_no % 5 = 0 and regexp_matches(line, '^#{1,6}\s+\S') then trim(regexp_replace(regexp_replace(line, '^#{1,6}\s+', ''), '\s+#*\s*$', '')) end as heading,
+l0 as (select doc_id, unnest(range(len(string_split(text, chr(10))))) as i, unnest(string_split(text, chr(10))) as raw from documents),
+la as (select doc_id, i, 0 as sub, repeat('#', ((i // 5) % 3 + 1)::int) || ' ' || raw[1:20] as line from l0 where i % 5 = 0 union all select doc_id, i, 1, raw from l0 union all select doc_id, i, 2, chr(12) from l0 where i % 8 = 7),
+l1 as (select doc_id, row_number() over (partition by doc_id order by i, sub) - 1 as line_no, i, sub, line from la),
+l2 as (select *, (i // 5) % 3 + 1 as level, case when sub = 0 and regexp_matches(line, '^#{1,6}\s+\S') then trim(regexp_replace(regexp_replace(line, '^#{1,6}\s+', ''), '\s+#*\s*$', '')) end as heading,
   max(case when line <> '' then line_no end) over (partition by doc_id) as last_line from l1)"""
 
 
@@ -122,7 +126,7 @@ def page_blocks(spark, sf):
     return navigate.page_blocks(_marked(spark, sf), "doc_id").select("doc_id", "page_no", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("chars"))
 
 
-@query(rf"""with {_LINES}, h as (select doc_id, line_no, heading, (line_no % 3 + 1) as level from l2 where heading is not null),
+@query(rf"""with {_LINES}, h as (select doc_id, line_no, heading, level from l2 where heading is not null),
 e as (select h.*, (select min(k.line_no) from h k where k.doc_id = h.doc_id and k.line_no > h.line_no and k.level <= h.level) as stop from h),
 m as (select doc_id, max(line_no) as last from l2 group by doc_id)
 select e.doc_id, heading, level::int as level, e.line_no::int as line_no, coalesce(stop - 1, last)::int as end_line,
