@@ -86,3 +86,19 @@ def canonical_video(url: Column) -> Column:
 
 def int_parameter(url: Column, name: str) -> Column:
     return F.regexp_extract(url, rf"[?&]{name}=(\d+)(?:&|#|\z)", 1).try_cast("long")
+
+
+def resolution_base(url: Column, raw_url: Column) -> Column:
+    """What a page's relative links resolve against.
+
+    An archived capture resolves against the address it holds if that is the page's own but for the scheme; a raw address
+    that was not redirected elsewhere serves itself; else the page's key does.
+    """
+    nested = F.regexp_replace(raw_url, ARCHIVE, "")
+    bare = lambda u: F.regexp_replace(normalize(u), r"^https?://", "")
+    own = bare(url)
+    return (
+        F.when(is_archived(raw_url) & (bare(nested) == own), url)
+        .when(~is_archived(raw_url) & (bare(raw_url) == own), raw_url)
+        .otherwise(url)
+    )

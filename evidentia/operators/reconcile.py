@@ -43,6 +43,27 @@ def replaced(df: DataFrame, **columns: Column) -> DataFrame:
     return df.withColumns(columns)
 
 
+def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Bulk rename; an unknown name raises."""
+    require_columns(df, list(names))
+    return df.withColumnsRenamed(names)
+
+
+def nulled(df: DataFrame, listed: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Rows whose key is listed lose the values of some columns, and keep their place."""
+    marked = df.join(listed.select(*keys).distinct().withColumn("_listed", F.lit(True)), keys, "left")
+    return marked.select(*(F.when(F.col("_listed").isNull(), F.col(c)).alias(c) if c in columns else F.col(c) for c in df.columns))
+
+
+def top_withheld(df: DataFrame, order: list[Column], limit: int) -> DataFrame:
+    """The first rows with their place and how many the limit keeps back; a limit below one keeps all rows."""
+    total = df.agg(F.count("*").alias("_total"))
+    top = df.orderBy(*order).limit(limit) if limit > 0 else df
+    placed = top.withColumn("place", F.row_number().over(Window.orderBy(*order)).cast("long"))  # after the limit: a few rows
+    kept = limit if limit > 0 else 2**62
+    return placed.crossJoin(F.broadcast(total)).withColumn("withheld", F.greatest(F.col("_total") - kept, F.lit(0))).drop("_total")
+
+
 def enrich_one_to_one(base: DataFrame, joins: list[tuple[DataFrame, list[str]]]) -> DataFrame:
     """A chain of left joins that may not change the row count; duplicate keys in a lookup raise."""
     for lookup, keys in joins:
