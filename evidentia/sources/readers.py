@@ -38,7 +38,8 @@ def snapshots(spark: SparkSession, paths: list[str], stamp: str = "LastRefreshDa
 
 def strict_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON lines under a full schema; a line that breaks it fails, and so does a key that no line has any more."""
-    seen = set(spark.read.json(path).columns)
+    keys = spark.read.text(path).select(F.explode(F.json_object_keys("value")).alias("key")).distinct()  # as many as the schema has
+    seen = {r["key"] for r in keys.collect()}
     missing = [f.name for f in schema.fields if f.name not in seen]
     if missing:
         raise ValueError(f"keys vanished from {path}: {missing}")
@@ -60,9 +61,14 @@ def work_list(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(F.trim(F.get(parts, 0)).alias("url"), F.nullif(F.trim(F.get(parts, 1)), F.lit("")).alias("query"))
 
 
-def write_jsonl(df: DataFrame, path: str, key: str) -> None:
-    """One compact object per row, sorted by key, nulls written too; part files follow the key's order."""
-    df.orderBy(key).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+def write_jsonl(df: DataFrame, path: str, key: str, one_file: bool = False) -> None:
+    """One compact object per row, sorted by key, nulls written too; part files follow the key's order.
+
+    `one_file` is for exports that a single reader takes: one task then writes all rows. Spark's committer puts the
+    finished files in place together.
+    """
+    rows = df.orderBy(key)
+    (rows.coalesce(1) if one_file else rows).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
 def sniff(content: Column, declared: Column) -> Column:
@@ -94,6 +100,20 @@ def manifest(spark: SparkSession, folder: str, exclude: str = r"(?:^|/)\.") -> D
     return files.where(~F.col("path").rlike(exclude)).select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
 
 
+def verify(files: DataFrame, noted: DataFrame) -> DataFrame:
+    """(path, verdict) of a pulled tree: `unchanged`, `content differs`, `missing` or `not in manifest`."""
+    a, b = files.select("path", F.col("sha256").alias("_is")), noted.select("path", F.col("sha256").alias("_was"))
+    verdict = F.when(F.col("_is").isNull(), "missing").when(F.col("_was").isNull(), "not in manifest").when(F.col("_is") != F.col("_was"), "content differs").otherwise("unchanged")
+    return a.join(b, "path", "full_outer").select("path", verdict.alias("verdict"))
+
+
+def external(spark: SparkSession, name: str, source: str, **options: str) -> DataFrame:
+    """Register a relation of another system (`jdbc`, `parquet`, ...) as a view for ad hoc SQL; filters reach its scan."""
+    df = spark.read.format(source).options(**options).load()
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def watermarks(frames: dict[str, DataFrame], observed: dict[str, str]) -> DataFrame:
     """(artefact, n_records, observed_at): one row per relation, null where a relation claims no time."""
     out = None
