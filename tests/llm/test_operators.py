@@ -69,10 +69,10 @@ def near_lines(texts):
 
 
 def test_lines_against_brute_force(spark, sf):
-    """Every near pair of 40 documents' lines, with near copies of a tenth of them: nearly all are linked, and nothing else is."""
+    """Every near pair of 30 documents' lines, with near copies of a third of the shorter ones: nearly all are linked, and nothing else is."""
     rng = np.random.default_rng(17)
-    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").where("length(text) < 2500").orderBy("doc_id").limit(40).collect()]
-    for k, line in enumerate([x for _, t in docs for x in (t or "").split("\n") if 10 < len(x) < 250][::6]):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").where("length(text) < 1500").orderBy("doc_id").limit(30).collect()]
+    for k, line in enumerate([x for _, t in docs for x in (t or "").split("\n") if 10 < len(x) < 200][::3]):
         words = line.split(" ")
         for _ in range(max(1, len(words) // 20)):
             words[int(rng.integers(0, len(words)))] = "changed"[: int(rng.integers(2, 8))]
@@ -94,7 +94,7 @@ def test_lines_against_brute_force(spark, sf):
     of_group = Counter(top(n) for n in kept)
     assert set(of_group) == set(groups)  # every group keeps a line, so no line goes without a near one that stays
     wanted, gone = sum(groups.values()) - len(groups), len(norms) - len(kept)
-    assert wanted > 20 and gone >= 0.95 * wanted, (gone, wanted, len(pairs))
+    assert wanted >= 15 and gone >= 0.95 * wanted, (gone, wanted, len(pairs))
 
 
 def invented(rng, n, low=3, high=10):
