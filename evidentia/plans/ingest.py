@@ -58,8 +58,8 @@ def snapshot_files(spark, sf):
     for n, (at, columns) in enumerate((("2024-02-01T00:00:00", ["id", "name", "balance"]), ("2024-01-01T00:00:00", ["id", "name"]))):
         part = rows.where(F.col("s_suppkey") % 2 == n).select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance"), F.floor(F.col("s_suppkey") / 2000).alias("chunk"))
         whole = part.groupBy("chunk").agg(F.to_json(F.struct(F.lit(at).alias("LastRefreshDateUtc"), F.collect_list(F.struct(*columns)).alias("Data"))).alias("value"))
-        whole.write.partitionBy("chunk").text(f"{path}/{n}")
-    return readers.snapshots(spark, [f"{path}/0", f"{path}/1"]).select("id", "name", "balance", F.date_format("snapshot_utc", "yyyy-MM-dd HH:mm:ss").alias("snapshot"))
+        whole.withColumn("n", F.lit(n)).write.mode("append").partitionBy("n", "chunk").text(path)
+    return readers.snapshots(spark, [path]).select("id", "name", "balance", F.date_format("snapshot_utc", "yyyy-MM-dd HH:mm:ss").alias("snapshot"))
 
 
 @query("select doc_id, lang, source, n_chars from documents")
