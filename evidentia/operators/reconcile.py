@@ -79,9 +79,13 @@ def presence_matrix(sources: dict[str, DataFrame], key: str) -> DataFrame:
     for name, df in sources.items():
         part = df.select(F.col(key).alias(key), F.lit(name).alias("_source"))
         tagged = part if tagged is None else tagged.unionByName(part)
-    flags = tagged.groupBy(key).agg(*(F.max(F.when(F.col("_source") == n, 1).otherwise(0)).alias(f"in_{n}") for n in sources))
-    total = sum((F.col(f"in_{n}") for n in sources), F.lit(0))
-    return flags.withColumn("n_sources", total)
+    return tagged_presence(tagged, key, "_source", list(sources))
+
+
+def tagged_presence(tagged: DataFrame, key: str, tag: str, sources: list[str], *also: Column) -> DataFrame:
+    """The same from rows that carry their source, in one scan and one shuffle of partial maxima."""
+    flags = tagged.groupBy(key).agg(*(F.max(F.when(F.col(tag) == n, 1).otherwise(0)).alias(f"in_{n}") for n in sources), *also)
+    return flags.withColumn("n_sources", sum((F.col(f"in_{n}") for n in sources), F.lit(0)))
 
 
 def manifest_diff(local: DataFrame, listing: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -281,7 +281,7 @@ from w where lang in ('en', 'fr', 'de') group by word
 def presence_matrix(spark, sf):
     """Which language's documents hold each word."""
     words = table(spark, sf, "documents").where("lang in ('en', 'fr', 'de')").select("lang", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)))).alias("word"))
-    return reconcile.presence_matrix({l: words.where(F.col("lang") == l) for l in ("en", "fr", "de")}, "word")
+    return reconcile.tagged_presence(words, "word", "lang", ["en", "fr", "de"])
 
 
 def _checks(spark, sf):
