@@ -417,13 +417,31 @@ def test_scores_against_brute_force(spark):
     tokens = lambda t: [w for w in re.split(r"[\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if w] + [None]
     counts = Counter(w for k, t in rows if not held(k) for w in tokens(t))
     total, kinds = sum(counts.values()), len(counts)
+    keyed = docs_of(spark, rows).select("text", (F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(7)) != 2).alias("train")).fillna("")
+    pieces, byte_ids, logp, end = lattice.fit(lattice.count_words(keyed).cache(), PIECES, counts[None])
+    known = {p: logp[i] for i, p in enumerate(pieces) if p and i not in set(byte_ids)}
+
+    def spelt(word):
+        """Log of the sum over all segmentations, prefix by prefix."""
+        if word is None:
+            return end
+        whole = "▁" + word
+        ways = [1.0] + [0.0] * len(whole)
+        for stop in range(1, len(whole) + 1):
+            for start in range(stop):
+                if whole[start:stop] in known:
+                    ways[stop] += ways[start] * math.exp(known[whole[start:stop]])
+            if whole[stop - 1] not in known:
+                ways[stop] += ways[stop - 1] * math.exp(sum(logp[byte_ids[b]] for b in whole[stop - 1].encode()))
+        return math.log(ways[-1])
+
     for r in got:
         t = next(t for k, t in rows if k == r.doc_id)
         own = tokens(t)
         assert r.held_out == held(r.doc_id) and r.n_tokens == len(own) and r.train_tokens == total
         assert r.n_known == sum(counts[w] > 0 for w in own)
         assert r.base_score == pytest.approx(sum(math.log10((counts[w] + 1) / (total + kinds + 1)) for w in own))
-        assert r.score < 0
+        assert r.score == pytest.approx(sum(map(spelt, own)) / math.log(10), rel=1e-6)
     assert lattice.score_documents(docs_of(spark, rows).limit(0), PIECES).count() == 0
 
 

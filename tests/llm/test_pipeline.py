@@ -18,3 +18,46 @@ def test_pipeline(spark, sf):
     pieces = corpus_pipeline.STAGES[-1][1](spark, now, sf)
     assert {r[0] for r in pieces.select("doc_id").distinct().collect()} == {r[0] for r in now.select("doc_id").collect()}
     assert pieces.groupBy("sequence_id").sum("length").where("`sum(length)` > 2048").count() == 0
+
+
+SAME = "the quick brown fox jumps over the lazy dog and runs into the deep dark wood at night"
+
+
+def odd_documents(spark):
+    """Nulls in every column, empty and long texts, ties, repeated rows, and columns whose names the operators use inside."""
+    rows = [
+        (1, f"{SAME}\nthe first of all lines", "en", "a", 5, 1.0),
+        (2, f"{SAME} long\nanother line that stands alone here", None, None, None, None),
+        (2, f"{SAME} long\nanother line that stands alone here", None, None, None, None),
+        (3, None, "en", "a", None, 2.0),
+        (4, "", "en", "a", 0, 3.0),
+        (5, "12 ½ ---", "en", "a", 8, 4.0),
+        (None, "a text without a key that nobody else has at all", "en", None, 3, None),
+        (6, "word of the " * 20_000, "en", "b", 240_000, 5.0),
+        (7, "the first of all lines", "en", "b", 22, 6.0),
+    ]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, bucket double")
+
+
+def test_stages_on_odd_rows(spark, sf):
+    docs = odd_documents(spark)
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["language"](spark, docs, sf)
+    assert kept.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "2", "6", "7", "None"]  # null, empty and letterless texts go
+    lines = stages["line_dedup"](spark, docs, sf)
+    assert lines.columns == docs.columns and lines.count() == docs.count()
+    texts = {(r.doc_id, r.n_chars): r.text for r in lines.collect() if r.doc_id != 2}
+    assert texts[3, None] is None and texts[4, 0] == "" and texts[5, 8] == "12 ½ ---" and texts[7, 0] == ""
+    assert texts[1, len(f"{SAME}\nthe first of all lines")] == f"{SAME}\nthe first of all lines"
+    twos = sorted(r.text for r in lines.where("doc_id = 2").collect())
+    assert twos == ["", "another line that stands alone here"]  # the near line went, and the repeated row lost all
+    near = stages["near_dedup"](spark, docs, sf)
+    assert near.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in near.collect()) == ["1", "2", "2", "3", "5", "6", "7", "None"]  # null and empty are one group
+    packed = stages["packing"](spark, docs, sf)
+    assert packed.select("doc_id").distinct().count() == 8
+    for name, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, docs.limit(0), sf)
+        assert empty.count() == 0
+        assert name == "packing" or empty.columns == docs.columns
