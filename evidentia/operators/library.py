@@ -8,10 +8,19 @@ from pyspark.sql import functions as F
 from evidentia.operators.components import connected_components
 
 
+#: Minted ids lie above this; ids given by hand or by a catalog lie below.
+MINTED = 1 << 62
+
+
+def minted_id(url: Column) -> Column:
+    """An id that the address alone gives, so that a repeated run mints the same; never negative, never a given one."""
+    return F.xxhash64(url).bitwiseAND(F.lit(MINTED - 1)).bitwiseOR(F.lit(MINTED))
+
+
 def register(urls: DataFrame, owned: DataFrame) -> DataFrame:
     """(url, document_id, minted): the existing owner's id, else one minted from the url; the first title stays with its owner."""
     have = owned.select("url", F.col("document_id").alias("_owner")).distinct()
-    return urls.select("url").where("url is not null").distinct().join(have, "url", "left").select("url", F.coalesce("_owner", F.abs(F.xxhash64("url"))).alias("document_id"), F.col("_owner").isNull().alias("minted"))
+    return urls.select("url").where("url is not null").distinct().join(have, "url", "left").select("url", F.coalesce("_owner", minted_id(F.col("url"))).alias("document_id"), F.col("_owner").isNull().alias("minted"))
 
 
 def adopt_redirects(redirects: DataFrame, owners: DataFrame) -> DataFrame:
@@ -44,6 +53,13 @@ def merge_documents(documents: DataFrame, pairs: DataFrame, fields: list[str], k
     return merged, dropped
 
 
+def move_children(children: DataFrame, mapping: DataFrame, key: str = "document_id") -> DataFrame:
+    """Addresses, classes or subjects of merged documents go to the survivor; what both had is kept once."""
+    to = mapping.select(F.col("loser").alias(key), F.col("survivor").alias("_to"))
+    moved = children.join(to, key, "left")
+    return moved.select(*(F.coalesce("_to", key).alias(c) if c == key else F.col(c) for c in children.columns)).distinct()
+
+
 def unify_subjects(subjects: DataFrame, doc: str, identities: list[str], names: list[str]) -> DataFrame:
     """One subject per group of rows of a document that share any identity.
 

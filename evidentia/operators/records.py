@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidentia.functions.urls import normalize
+from evidentia.operators.library import minted_id
 
 
 def dashed_id(text: Column) -> Column:
@@ -143,7 +144,7 @@ def listing_seed(files: DataFrame) -> DataFrame:
     base = F.lower(F.regexp_extract("url", r"([^/]+)\z", 1))
     named = files.select("url").distinct().withColumn("basename", base)
     shared = named.groupBy("basename").agg(F.count("*").alias("merge_hint"))
-    return named.join(shared, "basename").select("url", F.abs(F.xxhash64("url")).alias("document_id"), "basename", "merge_hint")
+    return named.join(shared, "basename").select("url", minted_id(F.col("url")).alias("document_id"), "basename", "merge_hint")
 
 
 def outcome_counts(rows: DataFrame, outcome: str = "outcome") -> DataFrame:

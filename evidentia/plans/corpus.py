@@ -212,11 +212,15 @@ def search_windows(spark, sf):
     return search.match_windows(_marked(spark, sf), ["of", "the"], 30, "doc_id")
 
 
-@query()
+@query(f"""with h as ({_bm25_sql("select doc_id, text from documents", ["license"])}), x as (select h.doc_id, h.score, source from h join documents d on d.doc_id = h.doc_id),
+t as (select source, row_number() over (order by max(score) desc, source) as doc_rank from x group by source)
+select x.source, x.doc_id, x.score, doc_rank, row_number() over (partition by x.source order by x.score desc, x.doc_id) as hit_rank from x join t on t.source = x.source where doc_rank <= 20""")
 def doc_grouped_hits(spark, sf):
     """The best twenty sources by their best document, with all their hits; the limit is the feature."""
-    hits = search.bm25(table(spark, sf, "documents"), [["license"]], "doc_id", "text").join(table(spark, sf, "documents").select("doc_id", "source"), "doc_id")
-    return search.grouped_hits(hits, "source", "doc_id", 20)
+    docs = table(spark, sf, "documents")
+    hits = search.bm25(docs, [["license"]], "doc_id", "text").select("doc_id", F.round("score", 6).alias("score")).join(docs.select("doc_id", "source"), "doc_id")
+    found = search.grouped_hits(hits, "source", "doc_id", 20)
+    return found.select("source", "doc_id", "score", F.col("doc_rank").cast("long").alias("doc_rank"), F.col("hit_rank").cast("long").alias("hit_rank"))
 
 
 @query("""

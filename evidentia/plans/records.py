@@ -321,3 +321,11 @@ def resolution_base(spark, sf):
     own = F.when(k % 4 == 0, F.concat(F.lit("https://a.org/"), k)).otherwise(F.lit("https://b.org/x"))
     raw = F.when(k % 4 == 0, F.concat(F.lit("https://web.archive.org/web/20110203040506/http://a.org/"), k)).when(k % 4 == 1, "http://b.org/x").when(k % 4 == 2, "https://moved.org/y").otherwise(F.lit(None))
     return table(spark, sf, "documents").select("doc_id", urls.resolution_base(own, raw).alias("base"))
+
+
+@query(f"with {_OWNED} select case when document_id % 10 = 1 then document_id - 1 else document_id end as document_id, url from owned")
+def merge_children(spark, sf):
+    """Addresses of merged documents go to the survivor."""
+    owned = _owned(spark, sf)
+    pairs = owned.where("document_id % 10 = 1").select(F.col("document_id").alias("loser"), (F.col("document_id") - 1).alias("survivor"))
+    return library.move_children(owned, library.merge_map(pairs))

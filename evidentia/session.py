@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,11 +27,14 @@ def build_session(app: str = "evidentia", master: str | None = None, **extra: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where that is unset (local tests)."""
+    """The folder in spark.checkpoint.dir; a temporary one only where that is unset and all tasks run in one process (local tests)."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if sc._jsc.sc().getCheckpointDir().isDefined() else None
     if current is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="evidentia-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.match(r"local(\[[^-]*\])?$", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="evidentia-"))
         current = sc.getCheckpointDir()
     return current
 
