@@ -149,3 +149,37 @@ def listing_seed(files: DataFrame) -> DataFrame:
 
 def outcome_counts(rows: DataFrame, outcome: str = "outcome") -> DataFrame:
     return rows.groupBy(outcome).agg(F.count("*").alias("n"))
+
+
+def page_records(requests: DataFrame, pages: DataFrame, column: str = "request") -> DataFrame:
+    """The whole page under each requested address in any spelling; nulls where none is held."""
+    wanted = requests.select(column, normalize(F.col(column)).alias("_u"))
+    held = pages.select(F.col("url").alias("_u"), F.struct(*(c for c in pages.columns)).alias("page"))
+    return wanted.join(held, "_u", "left").select(column, "page")
+
+
+def record_hunts(hunts: DataFrame, new: DataFrame) -> DataFrame:
+    """(document_id, hunted_at, note): dated negative results, each once; what was noted first stays."""
+    both = hunts.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+    return both.groupBy("document_id", "hunted_at").agg(F.min_by("note", "_new").alias("note"))
+
+
+def annotate(work: DataFrame, owners: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """(url, document_id, document_class, refusal): classes given to the addresses of a work list.
+
+    Unknown addresses are registered; a row without an address or with a class outside the vocabulary is refused alone.
+    """
+    url = normalize(F.col("url"))
+    rows = work.select(url.alias("url"), "document_class").join(owners.select("url", F.col("document_id").alias("_owner")), "url", "left")
+    refusal = F.when(F.col("url").isNull(), "no address").when(~F.col("document_class").isin(vocabulary), "unknown class")
+    owner = F.coalesce("_owner", minted_id(F.col("url")))
+    return rows.select("url", F.when(refusal.isNull(), owner).alias("document_id"), "document_class", refusal.alias("refusal"))
+
+
+def hit_labels(lines: DataFrame, hits: DataFrame, key: str = "url") -> DataFrame:
+    """Hits (key, first_line, last_line) with the section they lie in, null if they cross sections, and the pages they touch."""
+    inside = hits.join(lines.select(F.col(key).alias("_k"), "line_no", "line", "section", "section_start", "page_no"), (F.col(key) == F.col("_k")) & F.col("line_no").between(F.col("first_line"), F.col("last_line")))
+    shown = inside.where((F.trim("line") != "") & (F.col("line") != "\f"))
+    one = F.min(F.coalesce("section_start", F.lit(-1))) == F.max(F.coalesce("section_start", F.lit(-1)))
+    found = shown.groupBy(key, "first_line", "last_line").agg(one.alias("_one"), F.min("section").alias("_s"), F.array_sort(F.collect_set("page_no")).alias("pages"))
+    return found.select(key, "first_line", "last_line", F.when(F.col("_one"), F.col("_s")).alias("section"), "pages")

@@ -9,6 +9,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from evidentia.plans import audit, catalog, corpus, ingest, mart, records, searching  # noqa: E402  they use `table`
+from evidentia.plans import audit, catalog, corpus, ingest, mart, pages, records, searching  # noqa: E402  they use `table`
 
-MODULES = [catalog, mart, corpus, searching, records, ingest, audit]
+MODULES = [catalog, mart, corpus, searching, records, pages, ingest, audit]

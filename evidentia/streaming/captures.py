@@ -105,3 +105,32 @@ def stream_fold(source: DataFrame, target: str, checkpoint: str, buckets: int =
 def hourly_freshness(source: DataFrame, at: str = "fetched_at", late: str = "1 day") -> DataFrame:
     """Fetches per hour with a watermark, for a stream or a table."""
     return source.withWatermark(at, late).groupBy(F.window(at, "1 hour").alias("w")).agg(F.count("*").alias("n")).select(F.col("w.start").alias("hour"), "n")
+
+
+def keyed_by_final(responses: DataFrame, final: Column, requested: Column) -> DataFrame:
+    """Adds url, the final address normalised, which is the key; the requested one stays in raw_url."""
+    return responses.withColumns({"url": F.coalesce(final, requested), "raw_url": requested})
+
+
+def append_fetches(rows: DataFrame, path: str) -> None:
+    """Append fetches, failed ones too, to a Parquet log; imports carry no status."""
+    imported = F.coalesce(F.col("imported"), F.lit(False))
+    rows.withColumn("http_status", F.when(~imported, F.col("http_status"))).write.mode("append").parquet(path)
+
+
+def missing_blobs(pages: DataFrame, blobs: DataFrame, sha: str = "content_sha") -> DataFrame:
+    """Pages whose content no blob holds."""
+    return pages.where(F.col(sha).isNotNull()).join(blobs.select(sha).distinct(), sha, "left_anti")
+
+
+def chosen_track(tracks: DataFrame, key: str, original: str) -> DataFrame:
+    """One caption track per video: manual before automatic.
+
+    Manual tracks prefer English; automatic ones the original language as `<lang>-orig`, the language itself, English,
+    then the rest. Ties go by code.
+    """
+    english = F.col("language").startswith("en")
+    manual = F.when(english, 0).otherwise(1)
+    automatic = F.when(F.col("language") == F.concat(F.col(original), F.lit("-orig")), 0).when(F.col("language") == F.col(original), 1).when(english, 2).otherwise(3)
+    order = Window.partitionBy(key).orderBy(F.when(F.col("manual"), 0).otherwise(1), F.when(F.col("manual"), manual).otherwise(automatic), "language")
+    return tracks.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
