@@ -404,11 +404,21 @@ def page_tag_counts(spark, sf):
     return tables.tag_stream(table(spark, sf, "pages")).groupBy("tag").agg(F.count("*").alias("n"), F.count_distinct("page_id").alias("pages"))
 
 
-@query(r"select page_id, 'utf-8' as charset, length(html)::bigint as chars, md5(html) as digest from pages")
+@query("""
+with t as (select page_id, case page_id % 5 when 0 then html || 'é' when 1 then url || 'é ' when 2 then url || 'ああああ' when 3 then url || 'あ' || chr(65533) else html || 'é' end as text from pages)
+select page_id, case page_id % 5 when 1 then 'windows-1252' when 2 then 'cp932' when 3 then 'cp932' else 'utf-8' end as charset, page_id % 5 = 3 as lossy, length(text)::bigint as chars, md5(text) as digest from t
+""")
 def page_charsets(spark, sf):
-    """Page bytes decoded by the charset ladder, and the text they give."""
-    p = table(spark, sf, "pages").select("page_id", F.encode("html", "UTF-8").alias("content"), F.lit("text/html").alias("content_type"))
-    return tables.decoded(p, "page_id").select("page_id", "charset", F.length("text").cast("long").alias("chars"), F.md5("text").alias("digest"))
+    """Page bytes of several charsets decoded: stated, stated and broken, unknown, and left to a guess."""
+    k = F.col("page_id")
+    ending = lambda text, code: F.concat(F.encode(text, "UTF-8"), F.to_binary(F.lit(code), F.lit("hex")))
+    content = (
+        F.when(k % 5 == 1, ending(F.col("url"), "E920")).when(k % 5 == 2, ending(F.col("url"), "82A082A082A082A0"))
+        .when(k % 5 == 3, ending(F.col("url"), "82A082")).otherwise(ending(F.col("html"), "C3A9"))
+    )
+    stated = F.when(k % 5 == 0, "text/html; charset=UTF-8").when(k % 5 == 3, 'text/html; charset="Shift_JIS"').when(k % 5 == 4, "text/html; charset=x-none").otherwise("text/html")
+    p = table(spark, sf, "pages").select("page_id", content.alias("content"), stated.alias("content_type"))
+    return tables.decoded(p, "page_id").select("page_id", "charset", "lossy", F.length("text").cast("long").alias("chars"), F.md5("text").alias("digest"))
 
 
 @query("""

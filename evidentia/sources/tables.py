@@ -193,20 +193,46 @@ _META = re.compile(rb"<meta[^>]+charset=[\"']?\s*([A-Za-z0-9_\-]+)", re.I)
 SHIFT_JIS = {"shift_jis", "shift-jis", "sjis", "x-sjis", "windows-31j", "ms_kanji"}
 
 
+def _codec(label: str | None) -> str | None:
+    """A known codec's name for a stated label, else null."""
+    name = (label or "").strip().strip("\"'").lower()
+    name = "cp932" if name in SHIFT_JIS else name
+    try:
+        return name if name and codecs.lookup(name) else None
+    except LookupError:
+        return None
+
+
+def _strict(content: bytes, name: str) -> str | None:
+    try:
+        return content.decode(name)
+    except UnicodeDecodeError:
+        return None
+
+
+def guess_charset(content: bytes) -> str | None:
+    """The charset of undeclared bytes: UTF-8 if they are that, a Japanese one if it makes them kana, else Windows-1252.
+
+    Latin text read as a Japanese double-byte code gives rare characters but no kana, which tells the two apart.
+    """
+    if _strict(content, "utf-8") is not None:
+        return "utf-8"
+    for name in ("cp932", "euc_jp"):
+        beyond = [c for c in _strict(content, name) or "" if c > "\x7f"]
+        if beyond and sum("\u3040" <= c <= "\u30ff" for c in beyond) >= 0.2 * len(beyond):
+            return name
+    return "windows-1252" if _strict(content, "windows-1252") is not None else None
+
+
 def decode_bytes(content: bytes, declared: str | None) -> tuple[str, str, bool]:
-    """(text, charset, lossy): header label, label within the first 1024 bytes, strict UTF-8, Windows-1252, UTF-8 with replacement."""
-    labels = [declared, (m[1].decode("ascii") if (m := _META.search(content[:1024])) else None), "utf-8", "windows-1252"]
-    for label in labels:
-        name = (label or "").strip().strip("\"'").lower()
-        if not name:
-            continue
-        name = "cp932" if name in SHIFT_JIS else name
-        try:
-            codecs.lookup(name)
-            return content.decode(name), name, False
-        except (LookupError, UnicodeDecodeError):
-            continue
-    return content.decode("utf-8", "replace"), "utf-8", True
+    """(text, charset, lossy): the header's label, the label within the first 1024 bytes, else a guess, else UTF-8.
+
+    A label that names a known charset is believed: bytes that break it are replaced, and the text counts as lossy.
+    """
+    inner = _META.search(content[:1024])
+    name = _codec(declared) or _codec(inner[1].decode("ascii") if inner else None) or guess_charset(content)
+    text = _strict(content, name) if name else None
+    return (text, name, False) if text is not None else (content.decode(name or "utf-8", "replace"), name or "utf-8", True)
 
 
 def decoded(responses: DataFrame, key: str, content: str = "content", content_type: str = "content_type") -> DataFrame:
