@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -14,14 +15,41 @@ from evidentia.functions.urls import extension, host, normalize, resolve
 
 _SKIP = {"script", "style", "svg", "iframe", "canvas", "noscript", "template"}
 _BLOCK = {"p", "div", "section", "article", "header", "footer", "main", "aside", "nav", "ul", "ol", "li", "table", "tr", "blockquote", "pre", "dl", "dt", "dd", "form", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "br", "hr", "title"}
+_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _SPACE = re.compile(r"\s+")
+#: Names that consent widgets give their elements, as an id's beginning or a class or its first part.
+CONSENT = (
+    "cookie-law-info", "cmplz", "complianz", "onetrust", "cookie-notice", "cookie-consent", "cookie-banner", "cookiebar", "cky", "iubenda-cs",
+    "cybotcookiebotdialog", "didomi", "osano", "qc-cmp2", "borlabs-cookie", "usercentrics", "termsfeed", "moove_gdpr", "cookieconsent", "cc-window",
+    "trustarc", "klaro", "tarteaucitron",
+)
+_MARK = re.compile(r"<!--\s*google(off|on):\s*(?:all|index|snippet|anchor)\s*-->")
+_CONSENT_CLASS = re.compile(rf"(?:^|\s)(?:{'|'.join(map(re.escape, CONSENT))})(?:[-_]|\s|$)")
+
+
+def marked_content(html: str) -> str:
+    """The page without what it marks as no content, from each googleoff to its googleon; one that never closes marks nothing."""
+    kept, held, parts = [], None, _MARK.split(html)
+    for text, mark in zip(parts[::2], [*parts[1::2], None]):
+        (kept if held is None else held).append(text)
+        if mark == "off" and held is None:
+            held = []
+        elif mark == "on":
+            held = None
+    return "".join(kept + (held or []))
+
+
+def _asks_consent(attributes: dict) -> bool:
+    return (attributes.get("id") or "").lower().startswith(CONSENT) or _CONSENT_CLASS.search((attributes.get("class") or "").lower()) is not None
 
 
 class _Page(HTMLParser):
-    """Collects title, links and block text; tolerates tags that never close."""
+    """Collects title, links and block text; tolerates tags that never close: the end of what holds them ends them."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
+        self.open: list[tuple[str, bool]] = []
+        self.opened: Counter = Counter()
         self.skip, self.base, self.title, self.og, self.h1 = 0, None, None, None, None
         self.links: list[dict] = []
         self.blocks: list[str] = []
@@ -39,13 +67,16 @@ class _Page(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         a = dict(attrs)
-        if tag in _SKIP:
-            self.skip += 1
+        if tag not in _VOID:
+            hides = tag in _SKIP or _asks_consent(a)
+            self.open.append((tag, hides))
+            self.opened[tag] += 1
+            self.skip += hides
         if tag == "base" and self.base is None and a.get("href"):
             self.base = a["href"]
         if tag == "meta" and a.get("property") == "og:title" and self.og is None:
             self.og = a.get("content")
-        if tag in ("a", "area") and a.get("href") is not None:
+        if tag in ("a", "area") and a.get("href") is not None and not self.skip:
             self.anchor = {"href": a["href"].strip(), "anchor": "", "pos": len(self.links)}
             self.links.append(self.anchor)
         if tag in _BLOCK:
@@ -58,8 +89,11 @@ class _Page(HTMLParser):
             self.inside, self.held = tag, []
 
     def handle_endtag(self, tag):
-        if tag in _SKIP and self.skip:
-            self.skip -= 1
+        inner = None if self.opened[tag] else tag  # an end without a beginning ends nothing
+        while inner != tag:
+            inner, hides = self.open.pop()
+            self.opened[inner] -= 1
+            self.skip -= hides
         if tag == "a":
             self.anchor = None
         if tag == self.inside:
@@ -86,7 +120,7 @@ class _Page(HTMLParser):
 
 def parse_page(html: str | None) -> dict:
     page = _Page()
-    page.feed(html or "")
+    page.feed(marked_content(html or ""))
     page.close()
     page._close_block()
     title = next((t for t in (page.og, page.title, page.h1) if t), None)

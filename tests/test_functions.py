@@ -117,6 +117,10 @@ def test_page():
     assert page["title"] == "T & U" and page["links"] == [{"href": "/l", "anchor": "L k", "pos": 0}]
     assert "x" not in (page["body"] or "") and "- c" in page["body"]
     assert parse_page(None)["body"] is None
+    assert parse_page("<div>a<svg><path></div><p>b")["body"] == "a\n\nb"  # the end of what holds it ends an element that never closes
+    assert parse_page('<p>a</p><div id="onetrust-x"><p>take <b>all</b></p><a href="/y">y</a></div><p>b')["body"] == "a\n\nb"
+    assert parse_page('<div class="big cky-modal">no</div>c<div class="cookies">d</div>')["body"] == "c\n\nd"
+    assert parse_page("a<!-- googleoff: all --><p>x<!--googleon: all-->b<!--googleoff: index -->c")["body"] == "abc"
 
 
 def test_sniff(spark):
