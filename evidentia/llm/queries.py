@@ -100,6 +100,26 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from evidentia.llm.negatives import hard_negatives
+
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.select("vec_id", "embedding", moved.alias("label")))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from evidentia.llm.quality import score_quality
+
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from evidentia.llm.centroids import cluster_vectors
+
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_top_k": op2_top_k,
@@ -111,6 +131,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_chat": op9_chat,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_quality": op12_quality,
+    "op13_centroids": op13_centroids,
 }
 
 ORACLES: dict[str, str] = {
@@ -139,5 +162,42 @@ m as (
   from k join i on k.pattern = i.pattern and i.change = 'add' and k.fetched_at >= i.valid_from and k.fetched_at < i.valid_to)
 select c.page_id, coalesce(m.n, 0) as n_active, coalesce(m.verdict, 'none') as decision, m.pattern
 from c left join m on m.page_id = c.page_id and m.r = 1
+""",
+    "op11_hard_negatives": """
+with r as (
+  select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.id as anchor_id, b.id as other, a.label = b.label as same, list_dot_product(a.v, b.v)::bigint as score from r a join r b on a.id % 100 = 0 and a.id <> b.id),
+p as (select anchor_id, other as positive_id, score as positive_score from s where same qualify row_number() over (partition by anchor_id order by score desc, other) <= 5)
+select anchor_id, positive_id, (row_number() over (partition by anchor_id, positive_id order by score desc, other))::int as rank, other as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id) where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify row_number() over (partition by anchor_id, positive_id order by score desc, other) <= 10
+""",
+    "op13_centroids": """
+with rows_ as (
+  select vec_id as id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+c0 as (select row_number() over (order by h) - 1 as c, v from (select sha256('1:' || id) as h, v from rows_ order by h limit 16)),
+a1 as (select id, v, arg_min(c, (d, c)) as c, min(d) as d from (
+    select rows_.id, rows_.v, c0.c, list_sum(list_transform(list_zip(rows_.v, c0.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as d from rows_ cross join c0) group by id, v),
+c1 as (select c, list(m order by p) as v from (
+    select a1.c, p, (sum(v[p]) - ((sum(v[p]) % count(*)) + count(*)) % count(*)) // count(*) as m from a1 cross join (select unnest(range(1, 65)) as p) group by a1.c, p) group by c
+  union all select c, v from c0 where c not in (select c from a1)),
+a2 as (select id, v, arg_min(c, (d, c)) as c, min(d) as d from (
+    select rows_.id, rows_.v, c1.c, list_sum(list_transform(list_zip(rows_.v, c1.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as d from rows_ cross join c1) group by id, v),
+c2 as (select c, list(m order by p) as v from (
+    select a2.c, p, (sum(v[p]) - ((sum(v[p]) % count(*)) + count(*)) % count(*)) // count(*) as m from a2 cross join (select unnest(range(1, 65)) as p) group by a2.c, p) group by c
+  union all select c, v from c1 where c not in (select c from a2)),
+a3 as (select id, v, arg_min(c, (d, c)) as c, min(d) as d from (
+    select rows_.id, rows_.v, c2.c, list_sum(list_transform(list_zip(rows_.v, c2.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as d from rows_ cross join c2) group by id, v),
+c3 as (select c, list(m order by p) as v from (
+    select a3.c, p, (sum(v[p]) - ((sum(v[p]) % count(*)) + count(*)) % count(*)) // count(*) as m from a3 cross join (select unnest(range(1, 65)) as p) group by a3.c, p) group by c
+  union all select c, v from c2 where c not in (select c from a3)),
+a4 as (select id, v, arg_min(c, (d, c)) as c, min(d) as d from (
+    select rows_.id, rows_.v, c3.c, list_sum(list_transform(list_zip(rows_.v, c3.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as d from rows_ cross join c3) group by id, v)
+select a4.id as vec_id, a4.c::int as cluster, a4.d as distance, (sum(a4.d) over (partition by a4.c))::bigint as cluster_inertia, (sum(a4.d) over ())::bigint as inertia,
+       sha256(array_to_string(c3.v, ',')) as centroid_sha256
+from a4 join c3 on c3.c = a4.c
 """,
 }
