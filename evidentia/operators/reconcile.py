@@ -44,7 +44,12 @@ def replaced(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
-    """Bulk rename; an unknown name raises."""
+    """Bulk rename; a name that is absent is passed over."""
+    return df.withColumnsRenamed(names)
+
+
+def renamed_strictly(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Bulk rename; a name that is absent raises."""
     require_columns(df, list(names))
     return df.withColumnsRenamed(names)
 

@@ -115,24 +115,33 @@ def header_grammar(spark, sf):
 
 
 @query("""
-select s_suppkey, 'Maker ' || s_suppkey || case when s_suppkey % 4 = 2 then '-Co' else '' end as company_name, case when s_suppkey % 4 = 1 then 'Brand ' || s_suppkey end as trade_name,
-  case when s_suppkey % 4 = 1 then 'Brand ' || s_suppkey else 'Maker ' || s_suppkey || case when s_suppkey % 4 = 2 then '-Co' else '' end end as brand,
-  case s_suppkey % 4 when 0 then 'Town, State' when 2 then 'Ville' end as place, case when s_suppkey % 4 = 0 then (1900 + s_suppkey % 100)::int end as year_start,
-  case when s_suppkey % 4 = 0 then 1999 end as year_end, case when s_suppkey % 4 = 1 then 1971 end as single_year,
-  (select min(year(l_shipdate)) from lineitem l where l.l_suppkey = s.s_suppkey)::int as first_year, (select max(year(l_shipdate)) from lineitem l where l.l_suppkey = s.s_suppkey)::int as last_year
-from supplier s
+with s as (select s_suppkey, s_suppkey % 8 as f, 'Maker ' || s_suppkey as m, '19' || lpad((s_suppkey % 100)::varchar, 2, '0') as y from supplier),
+p as (select s_suppkey, m || case f when 2 then '-Co' when 4 then ' (Europe)' when 5 then ' (East) (Ltd.)' when 6 then '. Bros.' when 7 then ' & (Sons)' else '' end as company_name, case f when 1 then 'Brand ' || s_suppkey when 5 then 'B-' || s_suppkey end as trade_name,
+  case f when 0 then 'Town, State' when 2 then 'Ville' when 6 then 'St. Paul (Minn.)' end as place, case when f in (0, 4, 5) then y::int end as year_start, case when f in (0, 4) then 1999 end as year_end,
+  case f when 1 then 1971 when 6 then 1971 when 7 then y::int end as single_year from s)
+select s_suppkey, company_name, trade_name, coalesce(trade_name, company_name) as brand, place, year_start, year_end, single_year,
+  (select min(year(l_shipdate)) from lineitem l where l.l_suppkey = p.s_suppkey)::int as first_year, (select max(year(l_shipdate)) from lineitem l where l.l_suppkey = p.s_suppkey)::int as last_year from p
 """)
 def company_parse(spark, sf):
-    """Company strings made from suppliers, parsed; with the first and last year of what they shipped."""
-    k = F.col("s_suppkey")
-    tail = (
-        F.when(k % 4 == 0, F.concat(F.lit(", of Town, State (19"), F.lpad((k % 100).cast("string"), 2, "0"), F.lit("-1999)")))
-        .when(k % 4 == 1, F.concat(F.lit(" (1971) [Trade Name: Brand "), k, F.lit("]")))
-        .when(k % 4 == 2, F.lit("-Co, of Ville (1980)")).otherwise(F.lit(","))
-    )
+    """Company strings made from suppliers, parsed once per distinct spelling; with the first and last year of what they shipped."""
+    k, year = F.col("s_suppkey"), F.concat(F.lit("19"), F.lpad((F.col("s_suppkey") % 100).cast("string"), 2, "0"))
+    forms = [
+        F.concat(F.lit(", of Town, State ("), year, F.lit("-1999)")),
+        F.concat(F.lit(" (1971) [Trade Name: Brand "), k, F.lit("]")),
+        F.lit("-Co, of Ville (1980)"),
+        F.lit(","),
+        F.concat(F.lit(" (Europe) ("), year, F.lit("-1999)")),
+        F.concat(F.lit(" (East) (Ltd.) ("), year, F.lit("-now) [Trade Name: B-"), k, F.lit("]")),
+        F.lit(". Bros., of St. Paul (Minn.), (1971)"),
+        F.concat(F.lit(" & (Sons) ("), year, F.lit(")")),
+    ]
+    tail = F.lit(None).cast("string")
+    for n, form in enumerate(forms):
+        tail = F.when(k % 8 == n, form).otherwise(tail)
     years = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(F.min(F.year("l_shipdate")).alias("first_year"), F.max(F.year("l_shipdate")).alias("last_year"))
-    named = table(spark, sf, "supplier").select("s_suppkey", parse.company(F.concat(F.lit("Maker "), k, tail)).alias("c"))
-    return named.join(years, "s_suppkey", "left").select("s_suppkey", "c.*", "first_year", "last_year")
+    named = table(spark, sf, "supplier").select("s_suppkey", F.concat(F.lit("Maker "), k, tail).alias("text"))
+    parsed = named.select("text").distinct().select("text", parse.company(F.col("text")).alias("c"))
+    return named.join(parsed, "text").join(years, "s_suppkey", "left").select("s_suppkey", "c.*", "first_year", "last_year")
 
 
 @query("select event_id, user_id, cast(json_extract(props, '$.k') as bigint) as k from events where cast(json_extract(props, '$.k') as bigint) is not null")
@@ -149,7 +158,7 @@ def keyword_explode(spark, sf):
 @query("""
 with c as (select o_orderkey, 'status' as role, o_orderstatus as names from orders union all select o_orderkey, 'priority', replace(o_orderpriority, '-', ',') from orders),
 s as (select o_orderkey, role, trim(unnest(string_split(names, ','))) as person from c)
-select * from s where lower(person) not in ('', '?', 'n/a', 'none', 'unknown')
+select * from s where lower(person) not in ('(undisclosed)', 'undisclosed', 'unknown', 'missing', 'null', 'undefined', 'n/a', 'none', 'tbd', 'tba', '?', '') and person not ilike '%(undisclosed)%' and person not ilike '%unknown%'
 """)
 def credits_stack(spark, sf):
     """Role columns of comma-separated names to one row per person, in one pass over the table."""
@@ -229,44 +238,60 @@ def identity_scope(spark, sf):
 
 
 @query("""
-with p as (select p_partkey, p_brand, case p_partkey % 8 when 1 then 'GB' when 5 then 'GB' when 2 then 'ES' when 6 then 'ES' else 'US' end as jurisdiction, p_partkey % 8 in (0, 3, 4) as is_design,
-  case p_partkey % 8 when 0 then 'D' || (p_partkey + 100000) when 1 then '1' || (p_partkey % 900 + 100) || '123' when 2 then '' || (p_partkey % 50 + 70000) when 3 then 'D96384' when 4 then 'D' || (p_partkey % 1000 + 89000)
-    when 5 then '' || (p_partkey % 90 + 1234500) when 6 then '' || (p_partkey % 50 + 70000) end as number, case when p_partkey % 8 = 0 then p_name end as title from part),
-s as (select jurisdiction, number, count(distinct p_partkey) as models, count(distinct p_brand) as makers from p where number is not null group by all)
-select p_partkey, p.jurisdiction, is_design, p.number, title, models, makers, case when models is null then null when makers > 1 then 'multi_manufacturer' when models > 1 then 'multi_model' else 'single_model' end as subject_scope
-from p left join s on s.jurisdiction = p.jurisdiction and s.number = p.number
+with p as (select p_partkey, p_brand, p_partkey % 13 as f, case p_partkey % 13 when 1 then 'GB' when 5 then 'GB' when 2 then 'ES' when 6 then 'ES' else 'US' end as jurisdiction, p_partkey % 13 in (0, 3, 4, 11) as is_design, p_name from part),
+n as (select *, case f when 0 then 'D' || (p_partkey + 100000) when 1 then '1' || (p_partkey % 900 + 100) || '123' when 2 then '' || (p_partkey % 50 + 70000) when 3 then 'D96384' when 4 then 'D' || (p_partkey % 1000 + 89000)
+    when 5 then '' || (p_partkey % 90 + 1234500) when 6 then '' || (p_partkey % 50 + 70000) when 7 then '' || (p_partkey % 70 + 1925000) when 8 then '3' || (p_partkey % 900 + 100) || '888.' when 9 then '3404' || (p_partkey % 900 + 100)
+    when 10 then '' || (p_partkey % 70 + 1925000) when 11 then 'D87' || (p_partkey % 900 + 100) end as number, case f when 0 then p_name when 10 then 'BALL GAME' end as title from p),
+s as (select jurisdiction, number, count(distinct p_partkey) as models, count(distinct p_brand) as makers from n where number is not null group by all)
+select p_partkey, n.jurisdiction, is_design, n.number, title, models, makers, case when models is null then null when makers > 1 then 'multi_manufacturer' when models > 1 then 'multi_model' else 'single_model' end as subject_scope
+from n left join s on s.jurisdiction = n.jurisdiction and s.number = n.number
 """)
 def patents(spark, sf):
-    """Patent names made from parts, parsed, with the scope of each patent."""
+    """Patent names made from parts, parsed once per distinct name, with the scope of each patent."""
     k = F.col("p_partkey")
+    three = F.lpad((k % 900 + 100).cast("string"), 3, "0")
     forms = [
         F.concat(F.lit("US Design Patent "), k + 100000, F.lit(" ["), "p_name", F.lit("]")),
-        F.concat(F.lit("U.K. Patent 1,"), F.lpad((k % 900 + 100).cast("string"), 3, "0"), F.lit(",123")),
+        F.concat(F.lit("U.K. Patent 1,"), three, F.lit(",123")),
         F.concat(F.lit("Spanish Patent "), k % 50 + 70000),
         F.lit("Patent No. D96,384"),
         F.concat(F.lit("Drawing D"), k % 1000 + 89000),
         F.concat(F.lit("GB"), k % 90 + 1234500),
         F.concat(F.lit("Patente de invencion #"), k % 50 + 70000),
+        F.concat(F.lit("US"), k % 70 + 1925000, F.lit("_pdf")),
+        F.concat(F.lit("Patent_3,"), three, F.lit(",888.pdf")),
+        F.concat(F.lit("Patent-3404"), three),
+        F.concat(F.lit("Patent (#"), k % 70 + 1925000, F.lit(") [BALL GAME]")),
+        F.concat(F.lit("Patent D87,"), three),
     ]
     name = F.lit("Zipper patent drawing")
     for n, form in enumerate(forms):
-        name = F.when(k % 8 == n, form).otherwise(name)
-    parsed = table(spark, sf, "part").select("p_partkey", "p_brand", parse.patent(name).alias("p")).select("p_partkey", "p_brand", "p.*")
+        name = F.when(k % 13 == n, form).otherwise(name)
+    named = table(spark, sf, "part").select("p_partkey", "p_brand", name.alias("name"))
+    parsed = named.select("p_partkey", "p_brand", parse.patent(F.col("name")).alias("p")).select("p_partkey", "p_brand", "p.*")
     scope = parsed.where("number is not null").groupBy("jurisdiction", "number").agg(F.count_distinct("p_partkey").alias("models"), F.count_distinct("p_brand").alias("makers"))
     return parsed.join(scope, ["jurisdiction", "number"], "left").select("p_partkey", "jurisdiction", "is_design", "number", "title", "models", "makers", classify.subject_scope(F.col("models"), F.col("makers")).alias("subject_scope"))
 
 
 @query("""
-select p_partkey, case p_partkey % 3 when 0 then p_type when 1 then p_brand end as publication, case when p_partkey % 3 = 0 then p_size || '-' || (p_size + 2) end as pages,
-  case p_partkey % 3 when 0 then 'Mar ''7' || (p_partkey % 10) when 1 then 'June 1985' end as issue_date,
-  count(*) over (partition by case p_partkey % 3 when 0 then p_type || p_size || '/' || (p_partkey % 10) when 1 then p_brand else '' end, p_partkey % 3) as referencing from part
+with a as (select p_partkey, p_partkey % 8 as f, p_size as z, case p_partkey % 8 when 0 then p_type when 1 then p_brand when 3 then 'Coin_Slot' when 6 then 'T.N.T. - Amusements' end as publication, p_type, p_brand from part),
+b as (select p_partkey, publication, case f when 0 then z || '-' || (z + 2) when 2 then z || '-' || (z + 2) when 3 then z::varchar when 7 then z || ', ' || (z + 1) end as pages,
+  case f when 0 then 'Mar ''7' || (p_partkey % 10) when 1 then 'June 1985' when 3 then 'March 19' || (70 + p_partkey % 10) when 4 then 'Mar.1975' when 6 then 'Sept-92' when 7 then 'Dec, 1961' end as issue_date,
+  case f when 0 then p_type || z || '/' || (p_partkey % 10) when 1 then p_brand when 2 then z::varchar when 3 then z || '/' || (p_partkey % 10) when 7 then z::varchar else '' end as name, f from a)
+select p_partkey, publication, pages, issue_date, count(*) over (partition by f, name) as referencing from b
 """)
 def trade_articles(spark, sf):
     """Article names made from parts, parsed; an article is its display name."""
     k = F.col("p_partkey")
     name = (
-        F.when(k % 3 == 0, F.concat("p_type", F.lit(" Magazine Article, pages "), "p_size", F.lit("-"), F.col("p_size") + 2, F.lit(", Mar '7"), k % 10))
-        .when(k % 3 == 1, F.concat("p_brand", F.lit(" Ad, June 1985"))).otherwise(F.lit("Loose sheet"))
+        F.when(k % 8 == 0, F.concat("p_type", F.lit(" Magazine Article, pages "), "p_size", F.lit("-"), F.col("p_size") + 2, F.lit(", Mar '7"), k % 10))
+        .when(k % 8 == 1, F.concat("p_brand", F.lit(" Ad, June 1985")))
+        .when(k % 8 == 2, F.concat(F.lit("Factory Tour (Coin Slot, Spring 1992, pages "), "p_size", F.lit("-"), F.col("p_size") + 2, F.lit(")")))
+        .when(k % 8 == 3, F.concat(F.lit("Coin_Slot Article (March 19"), k % 10 + 70, F.lit("), page "), "p_size", F.lit(".")))
+        .when(k % 8 == 4, F.lit("Ad Mar.1975"))
+        .when(k % 8 == 6, F.lit("T.N.T. - Amusements Article [Sept-92]"))
+        .when(k % 8 == 7, F.concat(F.lit("Loose (page "), "p_size", F.lit(", "), F.col("p_size") + 1, F.lit("; Dec, 1961)")))
+        .otherwise(F.lit("Adverse notes, loose"))
     )
     rows = table(spark, sf, "part").select("p_partkey", name.alias("name"))
     counts = rows.groupBy("name").agg(F.count("*").alias("referencing"))

@@ -36,9 +36,9 @@ def dashed_ids(spark, sf):
 
 @query("select * exclude (p_retailprice) replace (lower(p_name) as p_name) rename (p_size as size, p_brand as brand) from part")
 def exclude_replace_rename(spark, sf):
-    """All columns but one, one replaced, two renamed; an unknown name raises."""
+    """All columns but one, one replaced, two renamed; a rename of an absent column is passed over."""
     part = reconcile.replaced(reconcile.without(table(spark, sf, "part"), "p_retailprice"), p_name=F.lower("p_name"))
-    return reconcile.renamed(part, {"p_size": "size", "p_brand": "brand"})
+    return reconcile.renamed(part, {"p_size": "size", "p_brand": "brand", "absent": "unseen"})
 
 
 @query("select o_orderkey, case when o_custkey % 50 <> 0 then o_orderpriority end as o_orderpriority, case when o_custkey % 50 <> 0 then o_totalprice end as o_totalprice from orders")

@@ -23,14 +23,14 @@ CONSENT = (
     "cybotcookiebotdialog", "didomi", "osano", "qc-cmp2", "borlabs-cookie", "usercentrics", "termsfeed", "moove_gdpr", "cookieconsent", "cc-window",
     "trustarc", "klaro", "tarteaucitron",
 )
-_MARK = re.compile(r"<!--\s*google(off|on):\s*(?:all|index|snippet|anchor)\s*-->")
+_MARK = re.compile(r"<!--\s*google(off|on):\s*(?:all|index|snippet|anchor)\s*-->", re.IGNORECASE)
 _CONSENT_CLASS = re.compile(rf"(?:^|\s)(?:{'|'.join(map(re.escape, CONSENT))})(?:[-_]|\s|$)")
 
 
 def marked_content(html: str) -> str:
     """The page without what it marks as no content, from each googleoff to its googleon; one that never closes marks nothing."""
     kept, held, parts = [], None, _MARK.split(html)
-    for text, mark in zip(parts[::2], [*parts[1::2], None]):
+    for text, mark in zip(parts[::2], [*map(str.lower, parts[1::2]), None]):
         (kept if held is None else held).append(text)
         if mark == "off" and held is None:
             held = []

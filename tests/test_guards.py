@@ -24,8 +24,8 @@ def test_errors_stop_and_warnings_do_not(spark):
 
 def test_unknown_names_raise(spark):
     rows = spark.createDataFrame([(1, "x")], "a long, b string")
-    assert reconcile.renamed(rows, {"a": "c"}).columns == ["c", "b"]
-    for call in (lambda: reconcile.renamed(rows, {"z": "y"}), lambda: reconcile.without(rows, "z"), lambda: reconcile.replaced(rows, z=F.lit(1))):
+    assert reconcile.renamed(rows, {"a": "c", "z": "y"}).columns == ["c", "b"]
+    for call in (lambda: reconcile.renamed_strictly(rows, {"z": "y"}), lambda: reconcile.without(rows, "z"), lambda: reconcile.replaced(rows, z=F.lit(1))):
         with pytest.raises(ValueError):
             call()
 
@@ -67,3 +67,20 @@ def test_tracking_parameters_go_in_any_case(spark):
 def test_branches_need_their_literals(spark):
     rows = spark.createDataFrame([("ok", "foo(a|b)?|bar", ["foo", "bar"]), ("bad", "foo|baz", ["foo", "Bar"])], "name string, pattern string, needles array<string>")
     assert sorted(r.detail for r in checks.uncovered_branches(rows, "name", "pattern", "needles").collect()) == ["bad: Bar", "bad: baz"]
+
+
+def test_every_form_of_a_company_an_article_and_nobody(spark):
+    rows = spark.createDataFrame([("Foo (Europe) (1950-1960)",), ("Foo (Europe), of Ghent, (1971) [Trade Name: F]",), ("A-B (1980)",)], "t string").select(parse.company(F.col("t")).alias("c")).select("c.*").collect()
+    assert [tuple(r) for r in rows] == [("Foo (Europe)", None, "Foo (Europe)", None, 1950, 1960, None), ("Foo (Europe)", "F", "F", "Ghent", None, None, 1971), ("A-B", None, "A-B", None, None, None, None)]
+    names = ["Expo 1991 Factory Tour (Coin Slot, Spring 1992, pages 21-22)", "Article (March 1992)", "Ad Mar.1975", "Play Meter Magazine Article, page 7", None]
+    rows = spark.createDataFrame([(n,) for n in names], "t string").select(parse.article(F.col("t")).alias("a")).select("a.*").collect()
+    assert [tuple(r) for r in rows] == [(None, "21-22", None), (None, None, "March 1992"), (None, None, "Mar.1975"), ("Play Meter", "7", None), (None, None, None)]
+    people = ["Missing", "TBA", "null", "UNDEFINED", "Various", "not known", "Ann Undisclosed", "Ann (Undisclosed)", "Unknown Soldier"]
+    kept = spark.createDataFrame([(n,) for n in people], "t string").where(parse.is_person(F.col("t"))).collect()
+    assert [r.t for r in kept] == ["Various", "not known", "Ann Undisclosed"]
+
+
+def test_marks_of_no_content_whatever_their_case():
+    from evidentia.sources.html import marked_content
+
+    assert marked_content("a<!-- GoogleOff: ALL -->b<!--GOOGLEON: all-->c<!-- googleoff: index -->d") == "acd"
