@@ -13,7 +13,7 @@ holds it whole. A block is at most BLOCK postings of one term in one segment; do
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -24,7 +24,7 @@ from evidentia.operators.search import B, K1, LEAST_IDF
 from evidentia.session import cut
 
 #: Postings of a block, documents of a segment (a power of two), and the segments that one file of a bucket holds at most.
-BLOCK, SEGMENT, FILE_SEGMENTS = 128, 1 << 12, 256
+BLOCK, SEGMENT, FILE_SEGMENTS = 128, 1 << 10, 1024
 #: Segments of the highest bounds that are scored first to find the score to beat.
 SEEDS = 64
 #: A position counts from the start of its column; columns are this far apart, so no phrase runs over into the next.
@@ -45,6 +45,7 @@ class TextIndex:
     spark: SparkSession
     path: str
     buckets: int
+    sizes: dict[str, tuple[int, float]] = field(default_factory=dict)
 
     def whole(self, name: str) -> DataFrame:
         return self.spark.read.schema(_SCHEMAS[name]).parquet(f"{self.path}/{name}")
@@ -52,6 +53,13 @@ class TextIndex:
     def table(self, name: str, space: str) -> DataFrame:
         return self.whole(name).where(F.col("space") == space)
 
+    def size(self, space: str) -> tuple[int, float]:
+        """Documents and their average length; read once."""
+        if space not in self.sizes:
+            row = self.table("statistics", space).first()
+            self.sizes[space] = (row["n_docs"], max(row["total_length"] / row["n_docs"], 1e-9)) if row else (0, 1.0)
+        return self.sizes[space]
+
     def stands(self) -> bool:
         """Whether the folder is still there."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/statistics")
@@ -159,8 +167,7 @@ def ranked(index: TextIndex, space: str, phrases: list[list[str]], limit: int =
     most promising segments are scored first, and after that only blocks that could reach the score to beat.
     Documents are those of the whole space, and lengths those of all its columns, as in the scan.
     """
-    stats = index.table("statistics", space).first()
-    n_docs, average = (stats["n_docs"], stats["total_length"] / stats["n_docs"]) if stats else (0, 1.0)
+    n_docs, average = index.size(space)
     documents = index.table("documents", space).select("doc", "key")
     names = [" ".join(p) for p in phrases]
     if limit > 0 and column is None and all(len(p) == 1 for p in phrases):
@@ -178,9 +185,10 @@ def ranked(index: TextIndex, space: str, phrases: list[list[str]], limit: int =
 
 
 def _pruned(index: TextIndex, space: str, terms: list[str], names: list[str], limit: int, n_docs: int, average: float) -> DataFrame:
-    """(doc, score) of at least the `limit` best documents that hold all terms, and all that tie with the last of them."""
-    heads = cut(index.blocks(space, terms).select("term", "segment", "first_doc", "n", "max_tf", "min_length"))
-    dfs = {r["term"]: r["df"] for r in heads.groupBy("term").agg(F.sum("n").alias("df")).collect()}
+    """(doc, score) of documents that hold all terms: at least the `limit` best, and all that tie with the last of them."""
+    heads = index.blocks(space, terms).select("term", "segment", "first_doc", "n", "max_tf", "min_length")
+    counts = {r["term"]: r for r in heads.groupBy("term").agg(F.sum("n").alias("df"), F.count_distinct("segment").alias("segments")).collect()}
+    dfs = {t: r["df"] for t, r in counts.items()}
     weights = {t: names.count(t) * _idf(n_docs, dfs.get(t, 0)) for t in terms}
     idf = reduce(lambda c, t: c.when(F.col("term") == t, F.lit(weights[t])), terms, F.when(F.lit(False), 0.0))
     bounded = heads.withColumn("bound", _part(idf, F.col("max_tf"), F.col("min_length"), average) + 1e-9)
@@ -191,6 +199,8 @@ def _pruned(index: TextIndex, space: str, terms: list[str], names: list[str], li
         whole = reduce(lambda a, b: a & b, (F.col(f"tf{k}").isNotNull() for k in range(len(terms))))
         return each.where(whole).select("doc", reduce(lambda a, b: a + b, (_part(weights[t], F.col(f"tf{k}"), F.col("length"), average) for k, t in enumerate(terms))).alias("score"))
 
+    if len(counts) < len(terms) or min(r["segments"] for r in counts.values()) <= SEEDS:
+        return score(index.blocks(space, terms))  # few enough segments hold the rarest term: there is nothing to leave out
     seeds = [r["segment"] for r in segments.orderBy(F.desc("reach"), "segment").limit(SEEDS).select("segment").collect()]
     best = score(index.blocks(space, terms).where(F.col("segment").isin(seeds))).orderBy(F.desc("score")).limit(limit).agg(F.count("*").alias("n"), F.min("score").alias("least")).first()
     beat = best["least"] if best["n"] == limit else -1.0
