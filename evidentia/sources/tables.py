@@ -11,8 +11,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evidentia.functions.parse import partial_date
+from evidentia.session import stored
+
 _SPACE = re.compile(r"\s+")
-_CELL = pa.struct([("text", pa.string()), ("bold", pa.string()), ("italic", pa.string()), ("hrefs", pa.list_(pa.string())), ("anchors", pa.list_(pa.string()))])
+_CELL = pa.struct([
+    ("text", pa.string()), ("bold", pa.string()), ("italic", pa.string()), ("lines", pa.list_(pa.string())), ("hrefs", pa.list_(pa.string())), ("anchors", pa.list_(pa.string())),
+    ("images", pa.list_(pa.struct([("src", pa.string()), ("alt", pa.string())]))),
+])
 _TAG = pa.struct([("seq", pa.int64()), ("tag", pa.string()), ("id", pa.string()), ("text", pa.string())])
 
 
@@ -30,15 +36,16 @@ class _Cells(HTMLParser):
 
     def _end_cell(self):
         if self.cell is not None:
-            shown = {k: _SPACE.sub(" ", "".join(self.cell[k])).strip() for k in ("text", "bold", "italic")}
+            shown = {k: _SPACE.sub(" ", "".join(self.cell[k]).replace("\x00", "\n")).strip() for k in ("text", "bold", "italic")}
             anchors = [_SPACE.sub(" ", "".join(a)).strip() for a in self.cell["anchors"]]
-            self.open[-1][1].append({**shown, "hrefs": self.cell["hrefs"], "anchors": anchors})
+            lines = [x for part in "".join(self.cell["text"]).split("\x00") if (x := _SPACE.sub(" ", part).strip())]
+            self.open[-1][1].append({**shown, "lines": lines, "hrefs": self.cell["hrefs"], "anchors": anchors, "images": self.cell["images"]})
             self.cell, self.anchor = None, None
 
     def _end_row(self):
         self._end_cell()
         if self.open and self.open[-1][1]:
-            self.rows.append({"table": self.open[-1][0], "cells": list(self.open[-1][1])})
+            self.rows.append({"table": self.open[-1][0], "path": [t for t, _ in self.open], "cells": list(self.open[-1][1])})
             self.open[-1][1].clear()
 
     def handle_starttag(self, tag, attrs):
@@ -52,7 +59,7 @@ class _Cells(HTMLParser):
             self._end_row()
         elif tag in ("td", "th"):
             self._end_cell()
-            self.cell, self.flags = {"text": [], "bold": [], "italic": [], "hrefs": [], "anchors": []}, []
+            self.cell, self.flags = {"text": [], "bold": [], "italic": [], "hrefs": [], "anchors": [], "images": []}, []
         elif self.cell is not None:
             if tag in ("b", "strong", "i", "em"):
                 self.flags.append("bold" if tag in ("b", "strong") else "italic")
@@ -61,7 +68,9 @@ class _Cells(HTMLParser):
                 self.cell["hrefs"].append(href)
                 self.cell["anchors"].append(self.anchor)
             elif tag == "br":
-                self.cell["text"].append("\n")
+                self.cell["text"].append("\x00")
+            elif tag == "img" and (given := dict(attrs)).get("src"):
+                self.cell["images"].append({"src": given["src"], "alt": given.get("alt")})
 
     def handle_endtag(self, tag):
         if not self.open:
@@ -82,6 +91,7 @@ class _Cells(HTMLParser):
 
     def handle_data(self, data):
         if self.cell is not None:
+            data = data.replace("\x00", " ")  # marks a line's end here
             self.cell["text"].append(data)
             for kind in set(self.flags):
                 self.cell[kind].append(data)
@@ -126,8 +136,8 @@ def tag_stream(pages: DataFrame, key: str = "page_id", html: str = "html") -> Da
 
 
 def cell_rows(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """(key, row_no, table, cells) of every table row that has cells."""
-    row = pa.struct([("table", pa.int64()), ("cells", pa.list_(_CELL))])
+    """(key, row_no, table, path, cells) of every table row that has cells; path leads from the outermost table to the row's own."""
+    row = pa.struct([("table", pa.int64()), ("path", pa.list_(pa.int64())), ("cells", pa.list_(_CELL))])
 
     def make(text: str) -> list[dict]:
         parser = _Cells()
@@ -137,42 +147,144 @@ def cell_rows(pages: DataFrame, key: str = "page_id", html: str = "html") -> Dat
             parser.handle_endtag("table")
         return parser.rows
 
-    ddl = "struct<table:long,cells:array<struct<text:string,bold:string,italic:string,hrefs:array<string>,anchors:array<string>>>>"
-    return _mapped(pages, key, html, make, row, ddl).select(key, F.posexplode("found").alias("row_no", "r")).select(key, "row_no", "r.table", "r.cells")
+    cell = "struct<text:string,bold:string,italic:string,lines:array<string>,hrefs:array<string>,anchors:array<string>,images:array<struct<src:string,alt:string>>>"
+    ddl = f"struct<table:long,path:array<long>,cells:array<{cell}>>"
+    return _mapped(pages, key, html, make, row, ddl).select(key, F.posexplode("found").alias("row_no", "r")).select(key, "row_no", "r.table", "r.path", "r.cells")
 
 
 def page_header(rows: DataFrame, self_link: str, marker: str, key: str = "page_id") -> DataFrame:
-    """(key, table, name, number, facts): the first cell that links to its own page and has the marker; pages without one are not model pages."""
+    """(key, table, path, name, number, facts): the first cell that links to its own page and has the marker; pages without one are not model pages."""
     cell = F.explode("cells").alias("c")
     number = F.regexp_extract(F.concat_ws(" ", "c.hrefs"), self_link, 1)
-    heads = rows.select(key, "row_no", "table", cell).withColumn("number", number).where((F.col("number") != "") & F.col("c.text").contains(marker))
+    heads = rows.select(key, "row_no", "table", "path", cell).withColumn("number", number).where((F.col("number") != "") & F.col("c.text").contains(marker))
     first = Window.partitionBy(key).orderBy("row_no")
-    return heads.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(key, "table", F.col("c.bold").alias("name"), F.col("number").try_cast("long").alias("number"), F.col("c.italic").alias("facts"))
+    return heads.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(key, "table", "path", F.col("c.bold").alias("name"), F.col("number").try_cast("long").alias("number"), F.col("c.italic").alias("facts"))
+
+
+def row_label(cells: str = "cells") -> Column:
+    """The label of a row: its first cell's bold text without the colon it must end in; null without one."""
+    bold = F.get(cells, F.lit(0))["bold"]
+    return F.nullif(F.when(bold.rlike(r":\s*\z"), F.trim(F.regexp_replace(bold, r"\s*:\s*\z", ""))), F.lit(""))
+
+
+def labelled_table(rows: DataFrame, heads: DataFrame, key: str = "page_id") -> DataFrame:
+    """(key, table): walking out from the header, the innermost table that has a labelled row of its own, or else the outermost."""
+    labelled = rows.where((F.size("cells") > 1) & row_label().isNotNull()).select(key, "table").distinct().withColumn("labelled", F.lit(True))
+    around = heads.select(key, F.posexplode("path").alias("depth", "table")).join(labelled, [key, "table"], "left")
+    return around.groupBy(key).agg(F.coalesce(F.max_by("table", F.when(F.col("labelled"), F.col("depth"))), F.min_by("table", "depth")).alias("table"))
 
 
 def labelled_fields(rows: DataFrame, key: str = "page_id") -> DataFrame:
-    """(key, row_no, label, value, hrefs, anchors) of two-cell rows whose first cell is bold and ends in a colon; unknown labels stay."""
-    label = F.get("cells", 0)
-    two = rows.where((F.size("cells") == 2) & (label["bold"] != "") & label["text"].rlike(r":\s*\z"))
-    value = F.get("cells", 1)
-    return two.select(key, "row_no", F.trim(F.regexp_replace(label["text"], r"\s*:\s*\z", "")).alias("label"), value["text"].alias("value"), value["hrefs"].alias("hrefs"), value["anchors"].alias("anchors"))
+    """(key, row_no, label, value, lines, hrefs, anchors) of labelled rows of two cells or more; of a repeated label the first row counts; unknown labels stay."""
+    first = Window.partitionBy(key, "label").orderBy("row_no")
+    found = rows.withColumn("label", row_label()).where((F.size("cells") >= 2) & F.col("label").isNotNull()).withColumn("_n", F.row_number().over(first)).where("_n = 1")
+    value = F.get("cells", F.lit(1))
+    text = F.when(F.size("cells") == 2, value["text"]).otherwise(F.trim(F.array_join(F.transform(F.slice("cells", F.lit(2), F.size("cells")), lambda c: c["text"]), " ")))
+    return found.select(key, "row_no", "label", text.alias("value"), value["lines"].alias("lines"), value["hrefs"].alias("hrefs"), value["anchors"].alias("anchors"))
+
+
+def bracketed(text: Column) -> Column:
+    """What round or square brackets around a whole text hold, else null."""
+    return F.nullif(F.regexp_extract(text, r"\A\s*[(\[](.*)[)\]]\s*\z", 1), F.lit(""))
 
 
 def listings(rows: DataFrame, key: str = "page_id") -> DataFrame:
-    """(key, row_no, section, name, url, kind, size): five-cell rows; a row without a section continues the one above."""
-    five = rows.where(F.size("cells") == 5)
-    text = lambda k: F.nullif(F.get("cells", k)["text"], F.lit(""))
+    """(key, row_no, section, name, url, kind, size, credit) of rows of five cells: label, size, kind, link, credit.
+
+    A row without a label continues the listing above it, unless a labelled row of another shape lies between. A row without a link is a file that is
+    withheld, and no entry.
+    """
     order = Window.partitionBy(key, "table").orderBy("row_no").rowsBetween(Window.unboundedPreceding, 0)
-    return five.select(key, "row_no", F.last(F.regexp_replace(text(0), r"\s*:\s*\z", ""), True).over(order).alias("section"), text(1).alias("name"), F.get(F.get("cells", 1)["hrefs"], 0).alias("url"), text(2).alias("kind"), text(3).alias("size"))
+    wide, label = F.size("cells") >= 5, row_label()
+    opened = F.when(label.isNotNull() & (F.size("cells") >= 2), F.struct(F.when(wide, label).alias("section")))
+    text = lambda k: F.nullif(F.get("cells", F.lit(k))["text"], F.lit(""))
+    link = F.get("cells", F.lit(3))
+    placed = rows.withColumn("section", F.last(opened, True).over(order)["section"])
+    return placed.where(wide & F.col("section").isNotNull() & (F.size(link["hrefs"]) > 0)).select(
+        key, "row_no", "section", F.get(link["anchors"], F.lit(0)).alias("name"), F.get(link["hrefs"], F.lit(0)).alias("url"), text(2).alias("kind"), text(1).alias("size"),
+        F.coalesce(bracketed(text(4)), text(4)).alias("credit"),
+    )
+
 
+def image_entries(rows: DataFrame, key: str = "page_id") -> DataFrame:
+    """(key, row_no, pos, thumbnail, url, caption, width, height, credit, description): one per tile that holds an image.
 
-def extract_job(pages: DataFrame, headers: DataFrame, url_id: Column, key: str = "page_id") -> DataFrame:
-    """Every page with its outcome: `ok`, `not a model`, `id differs` or `duplicate id` (first by url wins)."""
-    joined = pages.select(key, "url", url_id.alias("url_number")).join(headers, key, "left")
-    order = Window.partitionBy("number").orderBy("url", key)
-    again = F.col("number").isNotNull() & (F.col("number") == F.col("url_number")) & (F.row_number().over(order) > 1)
-    outcome = F.when(F.col("number").isNull(), "not a model").when(F.col("number") != F.col("url_number"), "id differs").when(again, "duplicate id").otherwise("ok")
-    return joined.withColumn("outcome", outcome)
+    The full size is the address without `tn_`; of the tile's lines the first is the caption, `w x h` the size, and a bracketed one the credit.
+    """
+    dims = r"\A(\d+)\s*[xX×]\s*(\d+)\z"
+    tiles = rows.select(key, "row_no", F.posexplode("cells").alias("pos", "c")).where(F.size("c.images") > 0)
+    size = F.get(F.filter("c.lines", lambda x: x.rlike(dims)), F.lit(0))
+    first = F.get("c.lines", F.lit(0))
+    side = lambda k: F.nullif(F.regexp_extract(size, dims, k), F.lit("")).cast("int")
+    image = F.get("c.images", F.lit(0))
+    return tiles.select(
+        key, "row_no", "pos", image["src"].alias("thumbnail"), F.regexp_replace(image["src"], r"\A(.*?)/tn_", "$1/").alias("url"),
+        F.when(~first.rlike(dims) & bracketed(first).isNull(), first).alias("caption"), side(1).alias("width"), side(2).alias("height"),
+        F.get(F.filter(F.transform("c.lines", bracketed), lambda x: x.isNotNull()), F.lit(0)).alias("credit"), F.nullif(F.trim(image["alt"]), F.lit("")).alias("description"),
+    )
+
+
+#: The labels of a machine page that are read; any other is kept verbatim as unknown. Labels that end in " by" are credits.
+LABELS = [
+    "Average Fun Rating", "Manufacturer", "Date Of Manufacture", "Project Date", "Model Number", "Common Abbreviations", "MPU", "Type", "Production",
+    "Serial Number Database", "Theme", "Specialty", "Notable Features", "Toys", "Easter Eggs", "Notes", "Marketing Slogans", "Photos in", "Source",
+    "Rule Sheets", "Additional Media", "Owners List URL", "Images",
+]
+
+
+def extract_models(pages: DataFrame, blobs: DataFrame, self_link: str, marker: str, url_number: Column, key: str = "page_id", labels: list[str] = LABELS) -> DataFrame:
+    """Every page (key, url, content_sha) with its outcome and, where that is `ok`, what its labelled table says.
+
+    Outcomes, the first that holds: `no blob`, `unreadable` (blank, or bytes that are no text), `not a model` (no header cell with a self link, the
+    marker and a name), `id differs` from the address's number, `duplicate id` (the first address wins), `ok`. Only the parser of tags is Python;
+    it reads each stored page once.
+
+    (key, url, outcome, number, name, players, date, date_source, header_date, fields, credits, documents, images, unknown): date is that of manufacture, else
+    of the project, else the header's; fields maps labels to texts.
+    """
+    held = blobs.select("content_sha", F.col("content").alias("html")).dropDuplicates(["content_sha"])
+    joined = pages.select(key, "url", "content_sha", url_number.alias("url_number")).join(held, "content_sha", "left")
+    readable = F.coalesce(F.col("html").rlike(r"\S") & ~F.col("html").contains("\x00"), F.lit(False))
+    rows = stored(cell_rows(joined.where(readable), key), "model-rows")
+    heads = page_header(rows, self_link, marker, key).where("name <> ''")
+    mine = rows.join(labelled_table(rows, heads, key), [key, "table"])
+    each = labelled_fields(mine, key)
+    fields = each.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("label", "value"))).alias("fields"))
+    people = F.filter(F.arrays_zip("hrefs", "anchors"), lambda z: z["hrefs"].contains("ppl="))
+    names = F.when(F.size(people) > 0, F.transform(people, lambda z: z["anchors"])).otherwise(F.filter(F.transform(F.split("value", ","), lambda x: F.trim(x)), lambda x: x != ""))
+    by = F.lower("label").endswith(" by")
+    credits = each.where(by).select(key, "row_no", "label", F.posexplode(names).alias("pos", "name"))
+    credits = credits.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("row_no", "pos", "label", "name"))), lambda x: F.struct(x["label"].alias("role"), x["name"].alias("name"))).alias("credits"))
+    files = listings(mine, key)
+    listed = files.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("row_no", "section", "name", "url", "kind", "size", "credit"))).alias("documents"))
+    wide = mine.where((F.size("cells") >= 5) & row_label().isNotNull()).select(key, row_label().alias("label"))
+    strange = each.where(~F.col("label").isin(labels) & ~by).join(wide.distinct(), [key, "label"], "left_anti")
+    unknown = strange.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("row_no", "label"))), lambda x: x["label"]).alias("unknown"))
+    inside = rows.join(labelled_table(rows, heads, key).withColumnRenamed("table", "model"), key).where(F.array_contains("path", F.col("model")))
+    images = image_entries(inside, key).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("row_no", "pos", "thumbnail", "url", "caption", "width", "height", "credit", "description"))).alias("images"))
+
+    parts = F.filter(F.transform(F.split("facts", "/"), lambda x: F.trim(x)), lambda x: x != "")
+    player = r"\A(\d+) Players?\z"
+    read = heads.select(
+        key, "number", "name", F.nullif(F.regexp_extract(F.get(F.filter(parts, lambda x: x.rlike(player)), F.lit(0)), player, 1), F.lit("")).try_cast("int").alias("players"),
+        F.get(F.filter(parts, lambda x: ~x.rlike(player)), F.lit(0)).alias("header_date"),
+    )
+    kinds = F.when(F.col("label") == "Date Of Manufacture", "manufacture").when(F.col("label") == "Project Date", "project")
+    texts = each.select(key, kinds.alias("kind"), F.col("value").alias("stated")).unionByName(read.select(key, F.lit("header").alias("kind"), F.col("header_date").alias("stated")))
+    stated = texts.where("kind is not null and stated is not null").select(key, "kind", F.nullif(partial_date(F.col("stated"))["iso"], F.lit("")).alias("iso"))
+    dates = stated.groupBy(key).agg(*(F.max(F.when(F.col("kind") == k, F.col("iso"))).alias(k) for k in ("manufacture", "project", "header")))
+    found = joined.join(read, key, "left")
+    early = F.when(F.col("html").isNull(), "no blob").when(~readable, "unreadable").when(F.col("number").isNull(), "not a model").when(F.col("url_number") != F.col("number"), "id differs")
+    found = found.withColumn("early", early)
+    firsts = found.where("early is null").groupBy("number").agg(F.min(F.struct("url", key)).alias("first"))
+    found = found.join(firsts, "number", "left").withColumn("outcome", F.coalesce("early", F.when(F.struct("url", key) == F.col("first"), "ok").otherwise("duplicate id")))
+    for piece in (fields, credits, listed, images, unknown, dates):
+        found = found.join(piece, key, "left")
+    ok = F.col("outcome") == "ok"
+    made, planned, head = (F.col(c) for c in ("manufacture", "project", "header"))
+    source = F.when(made.isNotNull(), "manufacture").when(planned.isNotNull(), "project").when(head.isNotNull(), "header")
+    kept = {c: F.when(ok, F.col(c)) for c in ("name", "players", "fields", "credits", "documents", "images", "unknown")}
+    return found.select(key, "url", "outcome", F.when(F.col("outcome").isin("ok", "id differs", "duplicate id"), F.col("number")).alias("number"), F.when(ok, F.coalesce(made, planned, head)).alias("date"), F.when(ok, source).alias("date_source"), F.when(ok, head).alias("header_date"), *(c.alias(n) for n, c in kept.items()))
 
 
 def glossary_terms(tags: DataFrame, term: Column, definition: Column, key: str = "page_id") -> DataFrame:
