@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,25 +13,101 @@ from evidentia.session import cut
 PATTERN_SCHEMA = "document_class string, pattern string, required_any array<string>, allow_containers array<string>, deny_pattern string"
 
 
-def classify(files: DataFrame, patterns: list[tuple], name: str = "name", container: str | None = None) -> DataFrame:
-    """(all columns, document_class) for every class a file matches.
-
-    `patterns` are rows of PATTERN_SCHEMA and go into the plan as literals, so each regex is compiled once, and no row is
-    joined to a vocabulary: a needed literal is looked for first, then the regex, the allowed containers and the denial.
-    """
-    lower = F.lower(F.col(name))
-    hits: dict[str, Column] = {}
-    for cls, pattern, needles, allowed, denied in patterns:
+def _tests(patterns: list[tuple], name: str, container: str | None, needed) -> list[tuple[str, Column]]:
+    """(class, test) of every pattern: what `needed` says of its literals, then the regex, the containers and the denial."""
+    out = []
+    for i, (cls, pattern, needles, allowed, denied) in enumerate(patterns):
         test = F.col(name).rlike(pattern)
         if needles:
-            test = reduce(lambda a, b: a | b, (lower.contains(n) for n in needles)) & test
+            test = needed(i, needles) & test
         if allowed and container:
             test = test & F.coalesce(F.col(container).isin(allowed), F.lit(False))
         if denied:
             test = test & ~F.col(name).rlike(denied)
-        hits[cls] = hits[cls] | test if cls in hits else test
-    found = F.array(*(F.when(test, F.lit(cls)) for cls, test in hits.items()))
-    return files.withColumn("document_class", F.explode(F.filter(found, lambda c: c.isNotNull())))
+        out.append((cls, test))
+    return out
+
+
+def _classes(tests: list[tuple[str, Column]]) -> Column:
+    by_class: dict[str, Column] = {}
+    for cls, test in tests:
+        by_class[cls] = by_class[cls] | test if cls in by_class else test
+    found = F.array(*(F.when(test, F.lit(cls)) for cls, test in by_class.items()))
+    return F.array_sort(F.filter(found, lambda c: c.isNotNull()))
+
+
+def class_list(patterns: list[tuple], name: str = "name", container: str | None = None) -> Column:
+    """The sorted classes that a name matches, by a handful of `patterns`.
+
+    `patterns` are rows of PATTERN_SCHEMA and go into the plan as literals, so each regex is compiled once, and no row is
+    joined to a vocabulary: a needed literal is looked for first, then the regex, the allowed containers and the denial.
+    """
+    lower = F.lower(F.col(name))
+    return _classes(_tests(patterns, name, container, lambda i, needles: reduce(lambda a, b: a | b, (lower.contains(n) for n in needles))))
+
+
+def classify(files: DataFrame, patterns: list[tuple], name: str = "name", container: str | None = None) -> DataFrame:
+    """(all columns, document_class) for every class a file matches."""
+    return files.withColumn("document_class", F.explode(class_list(patterns, name, container)))
+
+
+def needle_hits(files: DataFrame, patterns: list[tuple], name: str) -> DataFrame:
+    """Adds `hits`, the numbers of the patterns of which a needed literal occurs in the lower-case name.
+
+    All literals are one automaton, compiled once and broadcast (its size is the vocabulary's); a name is read once, however many literals there are.
+    """
+    import ahocorasick
+
+    numbers: dict[str, set[int]] = {}
+    for i, (_, _, needles, _, _) in enumerate(patterns):
+        for n in needles or []:
+            numbers.setdefault(n.lower(), set()).add(i)
+    automaton = ahocorasick.Automaton()
+    for n, ids in numbers.items():
+        automaton.add_word(n, tuple(sorted(ids)))
+    automaton.make_automaton()
+    shared = files.sparkSession.sparkContext.broadcast(automaton)
+
+    @F.pandas_udf("array<int>")
+    def hits(names: pd.Series) -> pd.Series:
+        found = shared.value
+        return pd.Series([sorted({i for _, ids in found.iter(n) for i in ids}) if n else [] for n in names])
+
+    once = hits.asNondeterministic()  # so that no filter above is pushed below and runs it again
+    return files.withColumn("hits", once(F.lower(F.col(name))) if numbers else F.array().cast("array<int>"))
+
+
+def classify_many(files: DataFrame, patterns: list[tuple], name: str = "name", container: str | None = None) -> DataFrame:
+    """Adds `classes`, as `class_list` gives them, for a large vocabulary: one pass of an automaton over each name, and a regex only where it has a hit."""
+    found = needle_hits(files, patterns, name)
+    return found.withColumn("classes", _classes(_tests(patterns, name, container, lambda i, _: F.array_contains("hits", i)))).drop("hits")
+
+
+def closed(edges: list[tuple[str, str]]) -> dict[str, list[str]]:
+    """Every class with all its ancestors; a constant of the plan, as a vocabulary's edges are few. A class on a cycle is an ancestor of its own."""
+    parents: dict[str, set[str]] = {}
+    for child, parent in edges:
+        parents.setdefault(child, set()).add(parent)
+    out = {}
+    for child in parents:
+        seen, todo = set(), list(parents[child])
+        while todo:
+            p = todo.pop()
+            if p not in seen:
+                seen.add(p)
+                todo.extend(parents.get(p, ()))
+        out[child] = sorted(seen)
+    return out
+
+
+def rolled_up(classes: Column | str, ancestors: dict[str, list[str]]) -> Column:
+    """A list of classes with all their ancestors, sorted: literals in the projection, no join and no shuffle."""
+    own = F.col(classes) if isinstance(classes, str) else classes
+    if not ancestors:
+        return F.array_sort(F.array_distinct(own))
+    known = F.create_map(*(x for c, above in ancestors.items() for x in (F.lit(c), F.array(*map(F.lit, above)))))
+    none = F.array().cast("array<string>")
+    return F.array_sort(F.array_distinct(F.concat(own, F.flatten(F.transform(own, lambda c: F.coalesce(F.try_element_at(known, c), none))))))
 
 
 def closure(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
@@ -50,14 +127,6 @@ def closure(edges: DataFrame, child: str = "child", parent: str = "parent") -> D
         size = now
 
 
-def roll_up(matches: DataFrame, closed: DataFrame, keys: list[str], cls: str = "document_class") -> DataFrame:
-    """Per key the literal classes and the classes with all ancestors, both distinct, sorted and joined by commas."""
-    inherited = matches.join(F.broadcast(closed), F.col(cls) == F.col("child")).select(*keys, F.col("ancestor").alias(cls), F.lit(True).alias("inherited"))
-    both = matches.select(*keys, cls, F.lit(False).alias("inherited")).union(inherited)
-    listed = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
-    return both.groupBy(*keys).agg(listed(F.when(~F.col("inherited"), F.col(cls))).alias("class_matches"), listed(F.col(cls)).alias("class_rolled_up"))
-
-
 def subject_scope(models: Column, makers: Column) -> Column:
     """null / multi_manufacturer / multi_model / single_model from subject counts."""
     return F.when(models.isNull() | (models == 0), F.lit(None)).when(makers > 1, "multi_manufacturer").when(models > 1, "multi_model").otherwise("single_model")

@@ -219,7 +219,8 @@ select doc_id, coalesce(array_to_string(list_sort(list_distinct(list(document_cl
 """)
 def class_rollup(spark, sf):
     """Literal classes, and classes with their ancestors, per document."""
-    return classify.roll_up(_classified(spark, sf), classify.closure(_edges(spark)), ["doc_id"])
+    listed = table(spark, sf, "documents").select("doc_id", classify.class_list(PATTERNS, "text").alias("own")).where("size(own) > 0")
+    return listed.select("doc_id", F.array_join("own", ",").alias("class_matches"), F.array_join(classify.rolled_up("own", classify.closed(EDGES)), ",").alias("class_rolled_up"))
 
 
 @query("""

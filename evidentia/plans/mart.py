@@ -65,12 +65,12 @@ select k, c.name, container, cls as class_matches, case cls when 'manual' then '
 def documents_mart(spark, sf):
     """One row per file: classes as matched and rolled up, and a scope for what is no image and has a container."""
     files = _files(spark, sf)
-    edges = spark.createDataFrame(PARENTS, "child string, parent string")
-    rolled = classify.roll_up(classify.classify(files, VOCABULARY, "name", "container").select("k", "document_class"), classify.closure(edges), ["k"])
+    own = files.withColumn("own", classify.class_list(VOCABULARY, "name", "container"))
+    rolled = own.select("k", "name", "container", F.nullif(F.array_join("own", ","), F.lit("")).alias("class_matches"), F.nullif(F.array_join(classify.rolled_up("own", classify.closed(PARENTS)), ","), F.lit("")).alias("class_rolled_up"))
     able = files.where("container is not null and container <> 'jpg'")
     scope = able.groupBy("name").agg(F.count_distinct("k").alias("models"), F.count_distinct("p_brand").alias("makers"))
     scoped = scope.select("name", classify.subject_scope(F.col("models"), F.col("makers")).alias("subject_scope"))
-    return files.join(rolled, "k", "left").join(scoped, "name", "left").select("k", "name", "container", "class_matches", "class_rolled_up", "subject_scope")
+    return rolled.join(scoped, "name", "left").select("k", "name", "container", "class_matches", "class_rolled_up", "subject_scope")
 
 
 @query("""
