@@ -69,18 +69,40 @@ def sections(lines: DataFrame, key: str = "url") -> DataFrame:
     return sized.select(key, "heading", "level", "line_no", "end_line", (F.col("through") - F.col("before")).alias("chars"))
 
 
+def heading_paths(found: DataFrame, key: str = "url") -> DataFrame:
+    """Adds `path`, the headings above each heading, outermost first, joined by ` > `.
+
+    The heading above on a level is the last one of that level, unless one of a higher level came after it; six running values say so for
+    every heading in one pass.
+    """
+    before = Window.partitionBy(key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
+    last = [F.last(F.when(F.col("level") == n, F.struct("line_no", "heading")), True).over(before) for n in range(1, 7)]
+    rows = found.withColumn("above", F.array(*last))
+    line = lambda n: F.coalesce(F.get("above", F.lit(n))["line_no"], F.lit(-1))
+    open_ = lambda n: (F.lit(n + 1) < F.col("level")) & (line(n) >= 0) & ((line(n) > F.greatest(*(line(m) for m in range(n)), F.lit(-1))) if n else F.lit(True))
+    names = F.array(*(F.when(open_(n), F.get("above", F.lit(n))["heading"]) for n in range(6)))
+    return rows.withColumn("path", F.array_join(F.filter(names, lambda x: x.isNotNull()), " > ")).drop("above")
+
+
 def outline(found: DataFrame, key: str = "url", min_chars: int = 0) -> DataFrame:
     """Headings with their ancestor path; repeats on one path that open no subsection collapse to one with a count."""
-    order = Window.partitionBy(key).orderBy("line_no")
-    so_far = F.collect_list(F.struct("level", "heading")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    stack = F.aggregate(so_far, F.array().cast("array<struct<level:int,heading:string>>"), lambda acc, h: F.concat(F.filter(acc, lambda a: a["level"] < h["level"]), F.array(F.struct(h["level"].alias("level"), h["heading"].alias("heading")))))
-    path = F.array_join(F.transform(F.filter(stack, lambda a: a["level"] < F.col("level")), lambda a: a["heading"]), " > ")
-    rows = found.withColumn("path", path).withColumn("leaf", F.coalesce(F.lead("level").over(order) <= F.col("level"), F.lit(True)))
+    rows = heading_paths(found, key).withColumn("leaf", F.coalesce(F.lead("level").over(Window.partitionBy(key).orderBy("line_no")) <= F.col("level"), F.lit(True)))
     group = F.when(F.col("leaf"), F.lit(-1)).otherwise(F.col("line_no"))
     grouped = rows.withColumn("g", group).groupBy(key, "path", "heading", "level", "g").agg(F.min("line_no").alias("line_no"), F.sum("chars").alias("chars"), F.count("*").alias("n"))
     return grouped.where(F.col("chars") >= min_chars).drop("g")
 
 
+def paged_outline(lines: DataFrame, key: str = "url", min_chars: int = 0) -> DataFrame:
+    """The outline with the page each entry opens on, and on every row how many entries of its document `min_chars` withholds.
+
+    A document all of whose entries are withheld has one row, without a heading.
+    """
+    rows = outline(sections(lines, key), key).join(lines.select(key, "line_no", "page_no"), [key, "line_no"])
+    small = F.col("chars") < min_chars
+    counts = rows.groupBy(key).agg(F.count_if(small).alias("withheld"))
+    return counts.join(rows.where(~small), key, "left").select(key, "path", "heading", "level", "line_no", "page_no", "chars", "n", "withheld")
+
+
 def quote_sentences(docs: DataFrame, needle: str, key: str = "url", text: str = "text") -> DataFrame:
     """(key, sentence_no, sentence) of sentences that hold the needle, case and white space apart."""
     pieces = docs.select(key, F.posexplode(sentences(F.col(text))).alias("sentence_no", "sentence"))
@@ -90,22 +112,27 @@ def quote_sentences(docs: DataFrame, needle: str, key: str = "url", text: str =
 def needle_lines(lines: DataFrame, needle: str, key: str = "url") -> DataFrame:
     """(key, first_line, last_line) of every occurrence, also across line ends; left to right, none overlapping.
 
-    A document's lines are joined in match form with their offsets; splitting on the needle gives the occurrences and
-    their offsets lead back to lines.
+    A document's lines are joined in match form with their offsets; splitting on the needle gives the occurrences, and their
+    offsets lead back to lines. The work is linear in lines and occurrences.
     """
     form = F.trim(match_form(F.col("line")))
     wanted = match_form(F.lit(needle))
     kept = lines.select(key, "line_no", form.alias("form")).where("form <> ''")
     before = F.sum(F.length("form") + 1).over(Window.partitionBy(key).orderBy("line_no"))
-    placed = kept.withColumn("stop", before).withColumn("start", F.col("stop") - F.length("form") - 1)
-    joined = placed.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("start", "line_no", "form"))).alias("x"))
+    placed = kept.withColumn("start", before - F.length("form") - 1)
+    joined = placed.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("start", "form"))).alias("x"))
     whole = F.array_join(F.transform("x", lambda s: s["form"]), " ")
-    parts = F.split(whole, F.concat(F.lit("\\Q"), wanted, F.lit("\\E")))
     size = F.length(wanted)
-    spans = joined.where(whole.contains(wanted)).select(key, "x", F.posexplode(F.slice(F.aggregate(parts, F.array(F.lit(0).cast("long")), lambda acc, p: F.concat(acc, F.array(F.get(acc, F.size(acc) - 1) + F.length(p) + size))), F.lit(2), F.size(parts) - 1)).alias("k", "after"))
-    begin, end = F.col("after") - size, F.col("after") - 1
-    upto = lambda p: F.get(F.filter("x", lambda s: s["start"] <= p), F.size(F.filter("x", lambda s: s["start"] <= p)) - 1)["line_no"]
-    return spans.select(key, upto(begin).alias("first_line"), upto(end).alias("last_line"))
+    parts = joined.where(whole.contains(wanted)).select(key, F.posexplode(F.split(whole, F.concat(F.lit("\\Q"), wanted, F.lit("\\E")))).alias("k", "part"))
+    last = F.max("k").over(Window.partitionBy(key))
+    ends = parts.withColumn("after", F.sum(F.length("part") + size).over(Window.partitionBy(key).orderBy("k"))).withColumn("last", last).where("k < last")
+    # occurrences and line starts are two sorted lists of a document, merged by one window
+    points = ends.select(key, F.explode(F.array(F.struct((F.col("after") - size).alias("at"), F.lit(0).alias("side")), F.struct((F.col("after") - 1).alias("at"), F.lit(1).alias("side")))).alias("p"), "k")
+    none = F.lit(None).cast("int")
+    union = placed.select(key, F.col("start").alias("at"), none.alias("side"), none.alias("k"), "line_no").unionByName(points.select(key, "p.at", "p.side", "k", none.alias("line_no")))
+    so_far = Window.partitionBy(key).orderBy("at", F.col("side").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    found = union.withColumn("line", F.last("line_no", True).over(so_far)).where("side is not null")
+    return found.groupBy(key, "k").agg(F.max(F.when(F.col("side") == 0, F.col("line"))).alias("first_line"), F.max(F.when(F.col("side") == 1, F.col("line"))).alias("last_line")).drop("k")
 
 
 def quote_windows(lines: DataFrame, needle: str, context: int, key: str = "url") -> DataFrame:
@@ -122,7 +149,8 @@ def quote_windows(lines: DataFrame, needle: str, context: int, key: str = "url")
     w = Window.partitionBy(key, "section_start").orderBy("a", "b")
     reach = F.max("b").over(w.rowsBetween(Window.unboundedPreceding, -1))
     island = wide.withColumn("fresh", F.coalesce((F.col("a") > reach).cast("int"), F.lit(1)))
-    island = island.withColumn("island", F.sum("fresh").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    ties = Window.partitionBy(key, "section_start").orderBy("a", "b", F.desc("fresh"))
+    island = island.withColumn("island", F.sum("fresh").over(ties.rowsBetween(Window.unboundedPreceding, 0)))
     return island.groupBy(key, "section_start", "island").agg(F.min("a").alias("first_line"), F.max("b").alias("last_line"), F.count("*").alias("matches")).drop("island")
 
 

@@ -137,12 +137,44 @@ def section_blocks(spark, sf):
     return navigate.sections(_marked(spark, sf), "doc_id").withColumn("chars", F.col("chars").cast("long"))
 
 
-@query()
+_OUTLINE = rf"""{_LINES}, h as (select doc_id, line_no, heading, level from l2 where heading is not null),
+e as (select h.*, (select min(k.line_no) from h k where k.doc_id = h.doc_id and k.line_no > h.line_no and k.level <= h.level) as stop from h),
+z as (select doc_id, max(line_no) as last from l2 group by doc_id),
+s as (select e.doc_id, e.heading, e.level, e.line_no, (select sum(length(line) + 1) - 1 from l2 where l2.doc_id = e.doc_id and l2.line_no between e.line_no and coalesce(stop - 1, z.last))::bigint as chars,
+  coalesce(lead(level) over (partition by e.doc_id order by e.line_no) <= level, true) as leaf from e join z on z.doc_id = e.doc_id),
+a as (select s.doc_id, s.line_no, k.level as above, max(k.line_no) as pos, arg_max(k.heading, k.line_no) as name from s join h k on k.doc_id = s.doc_id and k.line_no < s.line_no and k.level < s.level group by all),
+b as (select *, max(pos) over (partition by doc_id, line_no order by above rows between unbounded preceding and 1 preceding) as higher from a),
+p as (select doc_id, line_no, string_agg(name, ' > ' order by above) as path from b where higher is null or pos > higher group by all),
+o as (select s.doc_id, coalesce(path, '') as path, heading, level::int as level, min(s.line_no)::int as line_no, sum(chars)::bigint as chars, count(*) as n
+  from s left join p on p.doc_id = s.doc_id and p.line_no = s.line_no group by s.doc_id, coalesce(path, ''), heading, level, case when leaf then -1 else s.line_no end)"""
+
+
+@query(f"with {_OUTLINE} select * from o where chars >= 40")
 def outline(spark, sf):
+    """Headings under their ancestors, repeats collapsed, small ones left out."""
     return navigate.outline(navigate.sections(_marked(spark, sf), "doc_id"), "doc_id", 40)
 
 
-@query()
+@query(f"""with {_OUTLINE}, g as (select doc_id, line_no, 1 + sum((line = chr(12) and line_no < last_line)::int) over (partition by doc_id order by line_no) as page_no from l2),
+w as (select doc_id, count(*) filter (where chars < 40) as withheld from o group by doc_id), k as (select o.*, page_no from o join g on g.doc_id = o.doc_id and g.line_no = o.line_no where chars >= 40)
+select w.doc_id, path, heading, level, k.line_no, page_no::bigint as page_no, chars, n, withheld from w left join k on k.doc_id = w.doc_id""")
+def outline_pages(spark, sf):
+    """The outline with pages, and how many entries of each document are withheld as too small."""
+    return navigate.paged_outline(_marked(spark, sf), "doc_id", 40)
+
+
+@query(rf"""with {_LINES},
+f as (select doc_id, line_no, lower(trim(regexp_replace(line, '\s+', ' ', 'g'))) as form, last_value(case when heading is not null then line_no end ignore nulls) over (partition by doc_id order by line_no) as sec from l2),
+k as (select *, sum(length(form) + 1) over (partition by doc_id order by line_no) - length(form) - 1 as start from f where form <> ''),
+j as (select doc_id, string_agg(form, ' ' order by line_no) as whole from k group by doc_id),
+q as (select doc_id, unnest(string_split(whole, 'of the')) as part, unnest(range(len(string_split(whole, 'of the')))) as i from j where contains(whole, 'of the')),
+t as (select doc_id, sum(length(part) + 6) over (partition by doc_id order by i) - 6 as pos, i, max(i) over (partition by doc_id) as n from q),
+h as (select t.doc_id, t.i, max(k.line_no) filter (where k.start <= t.pos) as first, max(k.line_no) filter (where k.start <= t.pos + 5) as last from t join k on k.doc_id = t.doc_id where t.i < t.n group by all),
+x as (select doc_id, coalesce(sec, -1) as sec, min(line_no) as low, max(line_no) as high from f group by all),
+w as (select h.doc_id, x.sec, greatest(h.first - 1, x.low) as a, greatest(least(h.last + 1, x.high), h.last) as b from h join f on f.doc_id = h.doc_id and f.line_no = h.first join x on x.doc_id = h.doc_id and x.sec = coalesce(f.sec, -1)),
+u as (select *, case when a <= max(b) over (partition by doc_id, sec order by a, b rows between unbounded preceding and 1 preceding) then 0 else 1 end as fresh from w),
+v as (select *, sum(fresh) over (partition by doc_id, sec order by a, b, fresh desc rows between unbounded preceding and current row) as island from u)
+select doc_id, sec::int as section_start, min(a)::int as first_line, max(b)::int as last_line, count(*) as matches from v group by doc_id, sec, island""")
 def quote_windows(spark, sf):
     """Occurrences with a line of context, clipped to sections and merged."""
     return navigate.quote_windows(_marked(spark, sf), "of the", 1, "doc_id")
@@ -206,7 +238,16 @@ def two_tier_search(spark, sf):
     return search.two_tier(first, second, "doc_id", 30)
 
 
-@query()
+@query(rf"""with {_LINES},
+r as (select doc_id, line_no, coalesce(last_value(case when heading is not null then line_no end ignore nulls) over (partition by doc_id order by line_no), -1) as sec, regexp_extract_all({_TOKENS.replace("text", "line")}, '[\p{{L}}\p{{N}}]+') as w from l2),
+c as (select *, sum(len(w)) over (partition by doc_id order by line_no) as stop from r),
+x as (select doc_id, line_no, sec, stop - len(w) as start, unnest(w) as term, unnest(range(len(w))) as p from c),
+y as (select *, start + p as pos, lead(term) over (partition by doc_id order by start + p) as next from x),
+h as (select doc_id, sec, line_no, pos - 15 as lo, pos + 16 as hi from y where term = 'of' and next = 'the'),
+n as (select h.doc_id, h.sec, h.lo, h.hi, h.line_no, min(c.line_no) as a, max(c.line_no) as b from h join c on c.doc_id = h.doc_id and c.sec = h.sec and len(c.w) > 0 and c.stop - len(c.w) <= h.hi and c.stop > h.lo group by all),
+u as (select *, case when a <= max(b) over (partition by doc_id, sec order by a, b, lo rows between unbounded preceding and 1 preceding) then 0 else 1 end as fresh from n),
+v as (select *, sum(fresh) over (partition by doc_id, sec order by a, b, lo rows between unbounded preceding and current row) as island from u)
+select doc_id, sec::int as section_start, min(a)::int as first_line, max(b)::int as last_line, count(*) as matches from v group by doc_id, sec, island""")
 def search_windows(spark, sf):
     """Matches with about thirty surrounding words, in whole lines."""
     return search.match_windows(_marked(spark, sf), ["of", "the"], 30, "doc_id")

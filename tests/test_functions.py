@@ -148,3 +148,21 @@ def test_json_sources(spark, tmp_path):
     readers.write_jsonl(spark.createDataFrame([(2, None), (1, "x")], "id int, v string"), out, "id")
     assert '"v":null' in "".join(r.value for r in spark.read.text(out).collect())
     assert readers.or_empty(spark, str(tmp_path / "none"), spark.range(1).schema).count() == 0
+
+
+def test_long_documents_in_linear_time(spark):
+    """A document of 100,000 lines with as many hits and thousands of headings is placed without comparing all with all."""
+    from pyspark.sql import functions as F
+
+    from evidentia.operators import navigate
+
+    body = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(100_000)), lambda i: F.when(i % 20 == 0, F.concat(F.repeat(F.lit("#"), (i / 20 % 3 + 1).cast("int")), F.lit(" Part "), i)).when(i % 2 == 0, "see of").otherwise("the end")), "\n")
+    docs = spark.range(1).select(F.lit("u").alias("url"), body.alias("text"))
+    lines = navigate.lines_table(docs)
+    hits = navigate.needle_lines(lines, "of the")
+    assert hits.count() == 45_000  # each runs over a line's end
+    assert hits.where("last_line = first_line + 1").count() == 45_000
+    entries = navigate.paged_outline(lines)
+    assert entries.agg(F.sum("n")).first()[0] == 5_000
+    deep = entries.where("level = 3").orderBy(F.desc("line_no")).first()
+    assert deep.path.count(" > ") == 1 and deep.withheld == 0
