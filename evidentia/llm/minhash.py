@@ -142,16 +142,16 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = pa.array(np.arange(0, len(bags) * BANDS + 1, BANDS), pa.int32())
         listed = pa.ListArray.from_arrays(ends, pa.array(bands.reshape(-1)))
         return pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.int64()), *(pa.array([k[i] for k in keys], pa.int64()) for i in (1, 2)), pa.array([int(b[1].sum()) for b in bags], pa.int64()), listed],
-            ["key", "d1", "d2", "n", "bands"],
+            [*(pa.array([k[i] for k in keys], pa.int64()) for i in range(4)), pa.array([int(b[1].sum()) for b in bags], pa.int64()), listed],
+            ["key", "t", "d1", "d2", "n", "bands"],
         )
 
     keys, bags, held = [], [], 0
     for batch in batches:
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for key, t, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
             words = shingler.words(text.as_py())
             digest = hashlib.blake2b("\n".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
-            keys.append((key, int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)))
+            keys.append((key, t, int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)))
             bags.append(np.unique(shingler.hashes(words), return_counts=True))
             held += len(words) + REGISTERS
             if held >= STEP_WORDS:
@@ -193,11 +193,12 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return dealt.mapInArrow(compare, "member long, hub long, both long, sim double")
 
 
-def _texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Texts of the given keys; the keys are broadcast only when counted to be few."""
-    keys = keys.distinct()
-    small = keys.count() <= BROADCAST_KEYS
-    return docs.join(F.broadcast(keys) if small else keys, "key", "left_semi").groupBy("key").agg(F.min("text").alias("text"))
+def _texts_of(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, text) of the given class numbers, from the first row of each class; they are broadcast only when counted to be few."""
+    wanted = classes.join(keys.distinct().withColumnRenamed("key", "rep"), "rep", "left_semi").select("rep", "key", "t")
+    wanted = cut(wanted)
+    rows = docs.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_KEYS else wanted, ["key", "t"])
+    return rows.groupBy(F.col("rep").alias("key")).agg(F.min("text").alias("text"))
 
 
 def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,6 +209,12 @@ def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(elements), key), pa.int64()), pa.array(elements.view(np.int64)), pa.array(weights, pa.int64())], ["key", "shingle", "w"])
 
 
+def _plain(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, t, text): a row is known by its key and a hash of its text, as a key may repeat with another text."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    return docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(body).alias("t"), body.alias("text"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, class_id, n_links): class_id is the smallest key of the document's group, n_links the verified links of its text to other texts.
 
@@ -217,13 +224,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     adds what both share with the hub to what others share beyond it. Nothing is capped.
 
     Null text counts as empty, and empty texts are copies of one another. Texts under five words match equal
-    texts only. Rows with a null key get a null class and take no part; repeated rows share their class. Keys
-    are integers. Other columns are not read. An empty table gives an empty result.
+    texts only. Rows with a null key get a null class and take no part; repeated rows share their class. A key that
+    repeats with another text has a row for each, in the class of that text. Keys are integers. Other columns are not
+    read. An empty table gives an empty result.
     """
-    plain = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    signed = cut(plain.mapInArrow(_sign, "key long, d1 long, d2 long, n long, bands array<long>"))
-    classes = signed.where("key is not null").groupBy("d1", "d2").agg(F.min("key").alias("rep"))
-    lone = signed.join(classes, ["d1", "d2"]).where("key = rep").select("rep", "n", "bands").where("n > 0").dropDuplicates(["rep", "n"])
+    return _classed(docs, key, text).select(F.col("key").alias(key), "class_id", "n_links")
+
+
+def _classed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, t, class_id, n_links) of every row."""
+    plain = _plain(docs, key, text)
+    signed = cut(plain.mapInArrow(_sign, "key long, t long, d1 long, d2 long, n long, bands array<long>"))
+    # classes are numbered by their text, as keys may repeat
+    first = signed.where("key is not null").groupBy("d1", "d2").agg(F.min(F.struct("key", "t")).alias("first"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    classes = cut(first.select(F.monotonically_increasing_id().alias("rep"), "first.key", "first.t", "d1", "d2", "n", "bands"))
+    lone = classes.where("n > 0").select("rep", "n", "bands")
     banded = cut(lone.select("rep", "n", F.explode("bands").alias("bucket")))
 
     sizes = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
@@ -234,7 +249,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     placed = met.join(hubs, "bucket").where("rep <> hub").select("bucket", F.col("rep").alias("member"), "n", "hub", "size")
     pairs = cut(placed.select("member", "hub").distinct())
     ends = pairs.select(F.col("member").alias("key")).union(pairs.select(F.col("hub").alias("key")))
-    sims = cut(_verify(pairs, _texts_of(plain, ends)))
+    sims = cut(_verify(pairs, _texts_of(plain, classes, ends)))
     links = sims.where(F.col("sim") >= THRESHOLD).select(F.col("member").alias("src"), F.col("hub").alias("dst"))
 
     # Members that miss their hub may match each other, or a member that the hub holds.
@@ -243,7 +258,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rest = cut(rest.join(missed, "bucket"))
     if not rest.isEmpty():
         present = rest.select(F.col("member").alias("key")).union(rest.select(F.col("hub").alias("key")))
-        shingles = _texts_of(plain, present).mapInArrow(_shingle_rows, "key long, shingle long, w long")
+        shingles = _texts_of(plain, classes, present).mapInArrow(_shingle_rows, "key long, shingle long, w long")
         alone = shingles.groupBy("shingle").agg(F.count("*").alias("df"), F.min("key").alias("key"), F.min("w").alias("w")).where("df = 1")
         unique = alone.groupBy("key").agg(F.sum("w").alias("u")).withColumnRenamed("key", "member")
         # extra: shingles that the hub lacks and some other text here has
@@ -263,23 +278,26 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         again = cut(again)
         if not again.isEmpty():
             ends = again.select(F.col("member").alias("key")).union(again.select(F.col("hub").alias("key")))
-            more = _verify(again, _texts_of(plain, ends))
+            more = _verify(again, _texts_of(plain, classes, ends))
             links = links.union(more.where(F.col("sim") >= THRESHOLD).select(F.col("member").alias("src"), F.col("hub").alias("dst")))
     links = cut(links.distinct())
-    groups = connected_components(links).select(F.col("node").alias("rep"), "component")
+    groups = cut(connected_components(links).select(F.col("node").alias("rep"), "component"))
+    heads = groups.join(classes.select("rep", "key"), "rep").groupBy("component").agg(F.min("key").alias("head"))
     counts = links.select(F.col("src").alias("rep")).union(links.select(F.col("dst").alias("rep"))).groupBy("rep").agg(F.count("*").alias("n_links"))
-    named = classes.join(groups, "rep", "left").join(counts, "rep", "left")
-    found = signed.select("key", "d1", "d2").join(named, ["d1", "d2"], "left")
+    linked = groups.join(heads, "component").join(counts, "rep").select("rep", "head", "n_links")
+    named = classes.select("rep", "d1", "d2", F.col("key").alias("own")).join(linked, "rep", "left").drop("rep")
+    found = signed.select("key", "t", "d1", "d2").join(named, ["d1", "d2"], "left")
     has = F.col("key").isNotNull()
     return found.select(
-        F.col("key").alias(key),
-        F.when(has, F.coalesce("component", "rep")).alias("class_id"),
+        "key",
+        "t",
+        F.when(has, F.coalesce("head", "own")).alias("class_id"),
         F.when(has, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links"),
     )
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` whose key is the smallest of its group; rows with a null key all stay."""
-    found = near_duplicates(docs, key, text)
-    gone = found.where(F.col("class_id") < F.col(key)).select(F.col(key).cast(docs.schema[key].dataType).alias(key)).distinct()
-    return docs.join(gone, key, "left_anti").select(*docs.columns)
+    """The rows of `docs` whose key is the smallest of their text's group; rows with a null key all stay."""
+    gone = _classed(docs, key, text).where(F.col("class_id") < F.col("key")).select(F.col("key").alias("_gone_key"), F.col("t").alias("_gone_text")).distinct()
+    named = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("_key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_text"))
+    return named.join(gone, (F.col("_key") == F.col("_gone_key")) & (F.col("_text") == F.col("_gone_text")), "left_anti").select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))

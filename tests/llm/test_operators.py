@@ -256,6 +256,15 @@ def test_near_duplicates_against_brute_force(spark, sf):
     assert sum(got[k] != want[k] for k in want) <= 1  # banding finds a pair at 0.8 with probability 0.998
 
 
+def test_near_duplicates_of_a_repeated_key(spark):
+    """A key that repeats with another text loses no link: key 2 is near the one text of key 1, key 3 near the other."""
+    a, b = (" ".join(invented(np.random.default_rng(k), 60)) for k in (1, 2))
+    rows = [(1, a), (1, b), (2, a + " end"), (3, b + " end"), (5, a + " end"), (5, "quite another text that stands alone here")]
+    got = {(r.doc_id, r.class_id, r.n_links) for r in minhash.near_duplicates(docs_of(spark, rows)).collect()}
+    assert got == {(1, 1, 1), (2, 1, 1), (3, 1, 1), (5, 1, 1), (5, 5, 0)}
+    assert sorted((r.doc_id, r.text) for r in minhash.keep_first(docs_of(spark, rows)).collect()) == sorted([(1, a), (1, b), (5, rows[5][1])])
+
+
 def test_near_duplicates_odd_rows(spark):
     rows = [(3, None), (2, ""), (5, "  "), (1, "a b"), (9, "A  b"), (4, "a b c"), (8, "x " * 30000), (6, "x " * 30000 + "y"), (None, "a b"), (1, "a b")]
     got = {(r.doc_id, r.class_id) for r in minhash.near_duplicates(docs_of(spark, rows)).collect()}
