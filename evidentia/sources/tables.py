@@ -19,7 +19,7 @@ _CELL = pa.struct([
     ("text", pa.string()), ("bold", pa.string()), ("italic", pa.string()), ("lines", pa.list_(pa.string())), ("hrefs", pa.list_(pa.string())), ("anchors", pa.list_(pa.string())),
     ("images", pa.list_(pa.struct([("src", pa.string()), ("alt", pa.string())]))),
 ])
-_TAG = pa.struct([("seq", pa.int64()), ("tag", pa.string()), ("id", pa.string()), ("text", pa.string())])
+_TAG = pa.struct([("seq", pa.int64()), ("tag", pa.string()), ("id", pa.string()), ("name", pa.string()), ("content", pa.string()), ("text", pa.string())])
 
 
 class _Cells(HTMLParser):
@@ -107,7 +107,8 @@ class _Tags(HTMLParser):
         self.tags: list[dict] = []
 
     def handle_starttag(self, tag, attrs):
-        self.tags.append({"seq": len(self.tags), "tag": tag, "id": dict(attrs).get("id"), "text": ""})
+        given = dict(attrs)
+        self.tags.append({"seq": len(self.tags), "tag": tag, "id": given.get("id"), "name": given.get("property") or given.get("name"), "content": given.get("content"), "text": ""})
 
     def handle_data(self, data):
         if self.tags:
@@ -124,7 +125,7 @@ def _mapped(pages: DataFrame, key: str, html: str, make, kind: pa.DataType, ddl:
 
 
 def tag_stream(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """(key, seq, tag, id, text) of every start tag."""
+    """(key, seq, tag, id, name, content, text) of every start tag; name is its property or name."""
 
     def make(text: str) -> list[dict]:
         parser = _Tags()
@@ -132,7 +133,7 @@ def tag_stream(pages: DataFrame, key: str = "page_id", html: str = "html") -> Da
         parser.close()
         return parser.tags
 
-    return _mapped(pages, key, html, make, _TAG, "struct<seq:long,tag:string,id:string,text:string>").select(key, F.inline("found"))
+    return _mapped(pages, key, html, make, _TAG, "struct<seq:long,tag:string,id:string,name:string,content:string,text:string>").select(key, F.inline("found"))
 
 
 def cell_rows(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
