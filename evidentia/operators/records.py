@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from evidentia.functions.urls import normalize
 from evidentia.operators.library import minted_id
+from evidentia.operators.navigate import page_blocks, sections
 
 
 def dashed_id(text: Column) -> Column:
@@ -34,12 +35,22 @@ def paging_tier(text_pages: DataFrame, ocr_pages: DataFrame, key: str = "url") -
     return a.join(b, key, "full_outer").select(key, F.when(F.col("a") > 1, "text").when(F.col("b") > 1, "ocr").alias("tier"))
 
 
-def section_text(lines: DataFrame, spans: DataFrame, heading: str, key: str = "url") -> DataFrame:
-    """(key, line_no, text) of every section of that name, whatever its case; all matches come back."""
-    wanted = spans.where(F.lower("heading") == heading.lower()).select(F.col(key).alias("_k"), F.col("line_no").alias("_a"), F.col("end_line").alias("_b"))
-    inside = lines.join(wanted, (F.col(key) == F.col("_k")) & F.col("line_no").between(F.col("_a"), F.col("_b")))
+def named_blocks(requests: DataFrame, lines: DataFrame, key: str = "url", tier: str = "text") -> DataFrame:
+    """(key, heading, tier, kind, line_no, text): every block that answers to each asked (key, heading), whatever its case.
+
+    On a document with pages `page N` is that page, and line_no its number; any other name is a section. All sections of a name come back.
+    """
+    number = F.regexp_extract(F.lower("heading"), r"\Apage (\d+)\z", 1).try_cast("int")
+    pages = page_blocks(lines, key)
+    paginated = pages.groupBy(key).agg((F.max("page_no") > 1).alias("_paged"))
+    asked = requests.join(paginated, key).withColumn("_n", F.when(F.col("_paged"), number))
+    sheets = asked.where("_n is not null").join(pages.withColumnRenamed("page_no", "_n"), [key, "_n"]).select(key, "heading", F.lit("page").alias("kind"), F.col("_n").cast("long").alias("line_no"), "text")
+    spans = sections(lines, key).select(F.col(key).alias("_k"), F.lower("heading").alias("_name"), F.col("line_no").alias("_a"), F.col("end_line").alias("_b"))
+    met = asked.where("_n is null").join(spans, (F.col(key) == F.col("_k")) & (F.lower("heading") == F.col("_name"))).select(key, "heading", "_a", F.explode(F.sequence("_a", "_b")).alias("line_no"))
+    each = met.join(lines.select(key, "line_no", "line"), [key, "line_no"])
     listed = F.array_sort(F.collect_list(F.struct("line_no", "line")))
-    return inside.groupBy(key, "_a").agg(listed.alias("x")).select(key, F.col("_a").alias("line_no"), F.array_join(F.transform("x", lambda s: s["line"]), "\n").alias("text"))
+    own = each.groupBy(key, "heading", "_a").agg(F.array_join(F.transform(listed, lambda x: x["line"]), "\n").alias("text")).select(key, "heading", F.lit("section").alias("kind"), F.col("_a").cast("long").alias("line_no"), "text")
+    return sheets.unionByName(own).withColumn("tier", F.lit(tier))
 
 
 def miss_reason(requests: DataFrame, pages: DataFrame, headings: DataFrame, key: str = "url") -> DataFrame:

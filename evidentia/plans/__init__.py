@@ -9,6 +9,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from evidentia.plans import audit, captured, catalog, corpus, indexed, ingest, mart, models, pages, records, searching, streams, vocabularies  # noqa: E402  they use `table`
+from evidentia.plans import audit, captured, catalog, corpus, indexed, ingest, mart, models, navigation, pages, records, searching, streams, vocabularies  # noqa: E402  they use `table`
 
-MODULES = [catalog, mart, corpus, searching, indexed, records, pages, captured, models, ingest, streams, vocabularies, audit]
+MODULES = [catalog, mart, corpus, searching, indexed, navigation, records, pages, captured, models, ingest, streams, vocabularies, audit]

@@ -197,7 +197,8 @@ _TOKENS = "translate(lower(text), 'àáâãäåçèéêëìíîïñòóôõöù
 select term, count(*) as df, sum(tf)::bigint as cf, max(tf) as most from f group by term""")
 def postings_df(spark, sf):
     """Document and collection frequency of every term."""
-    p = search.postings(table(spark, sf, "documents"), "doc_id", "text")
+    words = table(spark, sf, "documents").select("doc_id", F.explode(tx.tokens(F.coalesce("text", F.lit("")))).alias("term"))
+    p = words.groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
     return p.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"), F.max("tf").alias("most"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidentia.functions import parse
+from evidentia.operators import records
 from evidentia.plans import table
 from evidentia.sources import tables
 
@@ -88,7 +89,7 @@ def model_outcomes(spark, sf):
     """How many pages came to which end."""
     pages, blobs = _machine_pages(spark, sf)
     found = tables.extract_models(pages, blobs, r"machine\.cgi\?id=(\d+)", "Cat No.", F.regexp_extract("url", r"machine\.cgi\?id=(\d+)", 1).try_cast("long"))
-    return found.groupBy("outcome").agg(F.count("*").alias("n"))
+    return records.outcome_counts(found)
 
 
 @query("""

@@ -38,8 +38,9 @@ def test_acquisition_and_migration(spark):
 def test_sections_and_misses(spark):
     docs = spark.createDataFrame([("u", "# A\nx\n\f\n\f\n# B c\ny"), ("v", "")], "url string, text string")
     lines = navigate.lines_table(docs)
-    got = records.section_text(lines, navigate.sections(lines), "b C").collect()
-    assert [(r.url, r.text) for r in got] == [("u", "# B c\ny")]
+    wanted = spark.createDataFrame([("u", "b C"), ("u", "Page 1"), ("u", "page 9"), ("v", "page 1"), ("w", "A")], "url string, heading string")
+    got = records.named_blocks(wanted, lines).collect()
+    assert sorted((r.url, r.heading, r.tier, r.kind, r.line_no, r.text) for r in got) == [("u", "Page 1", "text", "page", 1, "# A\nx"), ("u", "b C", "text", "section", 4, "# B c\ny")]
     pages = navigate.page_blocks(lines)
     asked = spark.createDataFrame([("u", "page 1"), ("u", "page 2"), ("u", "page 9"), ("u", "A"), ("u", "B"), ("u", "zz"), ("v", "A")], "url string, heading string")
     heads = lines.where("heading is not null").select("url", "heading")
