@@ -8,7 +8,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +16,10 @@ from evidentia.session import stored
 
 #: Commonest words whose scores every worker holds; the scores of all others are joined by shuffle.
 COMMON_WORDS = 100_000
-#: Rounds of expectation-maximisation over all distinct training words.
-ROUNDS = 2
+#: Expectation-maximisation runs over all distinct training words until a round raises their mean log10 probability a token by less than this.
+GAIN = 0.005
+#: Rounds over one WARM_SHARE-th of the words that only give the whole rounds their start; it is a share of the words at every size.
+WARM_ROUNDS, WARM_SHARE = 5, 8
 #: Added to every piece's expected count, so that no piece or byte is impossible.
 SMOOTH = 0.1
 #: Distinct words counted before a worker hands on what it has; bounds memory only.
@@ -34,10 +35,17 @@ class PieceModel:
     def __init__(self, pieces: list[str], byte_ids: list[int], logp: np.ndarray):
         self.logp, self.byte_ids = logp, np.array(byte_ids)
         self.longest = max(map(len, pieces), default=1)
-        own = [(self._hash(p), i) for i, p in enumerate(pieces) if p and i not in set(byte_ids)]
-        own.sort()
-        self.hashes = np.array([h for h, _ in own], dtype=np.uint64)
-        self.ids = np.array([i for _, i in own], dtype=np.int64)
+        spelt = set(byte_ids)
+        own: dict[int, list[tuple[int, int]]] = {}
+        for i, p in enumerate(pieces):
+            if p and i not in spelt:
+                own.setdefault(len(p), []).append((self._hash(p), i))
+        #: By length: sorted hashes, ids and letters of the pieces.
+        self.by_length = {}
+        for size, found in sorted(own.items()):
+            found.sort()
+            letters = np.array([[ord(c) for c in pieces[i]] for _, i in found], dtype=np.uint32)
+            self.by_length[size] = (np.array([h for h, _ in found], dtype=np.uint64), np.array([i for _, i in found], dtype=np.int64), letters)
 
     @staticmethod
     def _hash(piece: str) -> int:
@@ -47,7 +55,10 @@ class PieceModel:
         return h
 
     def _edges(self, codes: np.ndarray) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
-        """(start, end, rows, piece ids) over words of one length, in order of end. A character that is no piece is spelt by its bytes."""
+        """(start, end, rows, piece ids) over words of one length, in order of end. A character that is no piece is spelt by its bytes.
+
+        Hashes find a piece, its letters confirm it.
+        """
         n, length = codes.shape
         prefix = np.zeros((n, length + 1), dtype=np.uint64)
         for i in range(length):
@@ -55,16 +66,22 @@ class PieceModel:
         power = [np.uint64(pow(int(_BASE), k, 2**64)) for k in range(min(self.longest, length) + 1)]
         out = []
         for end in range(1, length + 1):
-            for size in range(1, min(self.longest, end) + 1):
+            if 1 not in self.by_length:
+                out.append((end - 1, end, np.arange(n), None))
+            for size, (hashes, ids, letters) in self.by_length.items():
+                if size > end:
+                    break
                 h = prefix[:, end] - prefix[:, end - size] * power[size]
-                at = np.searchsorted(self.hashes, h)
-                at[at == len(self.hashes)] = 0
-                hit = self.hashes[at] == h
-                rows = np.flatnonzero(hit)
+                at = np.searchsorted(hashes, h)
+                at[at == len(hashes)] = 0
+                rows = np.flatnonzero(hashes[at] == h)
+                rows = rows[(letters[at[rows]] == codes[rows, end - size : end]).all(axis=1)]
                 if len(rows):
-                    out.append((end - size, end, rows, self.ids[at[rows]]))
+                    out.append((end - size, end, rows, ids[at[rows]]))
                 if size == 1 and len(rows) < n:
-                    out.append((end - 1, end, np.flatnonzero(~hit), None))
+                    spelt = np.ones(n, dtype=bool)
+                    spelt[rows] = False
+                    out.append((end - 1, end, np.flatnonzero(spelt), None))
         return out
 
     def _byte_score(self, codes: np.ndarray) -> np.ndarray:
@@ -162,40 +179,58 @@ def _text(word: bytes) -> str:
     return word.decode("utf-8", "replace")
 
 
-def fit(words: DataFrame, vocabulary_path: str, train_docs: int, rounds: int = ROUNDS) -> tuple[list[str], list[int], np.ndarray, float]:
-    """Piece log probabilities and the end's, by expectation-maximisation over all distinct training words.
+def fit(words: DataFrame, vocabulary_path: str, train_docs: int, gain: float = GAIN) -> tuple[list[str], list[int], np.ndarray, float]:
+    """Piece log probabilities and the end's, by expectation-maximisation until a round over all distinct training words gains less than `gain`.
 
-    Only the expected counts, one per piece, reach the driver.
+    Only the expected counts, one per piece, and the likelihood reach the driver.
     """
     pieces, byte_ids, start = read_vocabulary(vocabulary_path)
     usable = start > 0
     spark = words.sparkSession
     train = words.where("c > 0").select("word", "c")
+    warm = train.where(F.pmod(F.xxhash64("word"), F.lit(WARM_SHARE)) == 0)
 
     def normal(counts: np.ndarray, end: float) -> tuple[np.ndarray, float]:
         total = counts[usable].sum() + end
         with np.errstate(divide="ignore"):
             return np.where(usable, np.log(np.where(usable, counts, 1.0) / total), -np.inf), math.log(end / total)
 
-    logp, end = normal(start, start.sum() * 0.002)
-    for _ in range(rounds):
+    def expected(rows: DataFrame, logp: np.ndarray) -> tuple[np.ndarray, float, float]:
+        """Expected count of every piece, tokens and their log probability."""
         shared = spark.sparkContext.broadcast(logp)
 
         def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             model = PieceModel(pieces, byte_ids, shared.value)
-            total = np.zeros(len(pieces))
+            total, tokens, likelihood = np.zeros(len(pieces)), 0.0, 0.0
             for batch in batches:
-                _, got = model.score([_text(w) for w in batch.column(0).to_pylist()], batch.column(1).to_numpy().astype(float))
+                c = batch.column(1).to_numpy().astype(float)
+                lp, got = model.score([_text(w) for w in batch.column(0).to_pylist()], c)
                 total += got
+                tokens += c.sum()
+                likelihood += (lp * c).sum()
             at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["piece", "e"])
+            yield pa.RecordBatch.from_arrays([pa.array([-2, -1, *at.tolist()], pa.int64()), pa.array([tokens, likelihood, *total[at].tolist()], pa.float64())], ["piece", "e"])
 
-        gathered = train.mapInArrow(expect, "piece long, e double").groupBy("piece").agg(F.sum("e").alias("e")).collect()
+        got = {r["piece"]: r["e"] for r in rows.mapInArrow(expect, "piece long, e double").groupBy("piece").agg(F.sum("e").alias("e")).collect()}
+        tokens, likelihood = got.pop(-2, 0.0), got.pop(-1, 0.0)
         counts = np.full(len(pieces), SMOOTH)
-        for row in gathered:
-            counts[row["piece"]] += row["e"]
+        counts[list(got.keys())] += list(got.values())
+        return counts, tokens, likelihood
+
+    logp, end = normal(start, start.sum() * 0.002)
+    for _ in range(WARM_ROUNDS):
+        counts, tokens, _ = expected(warm, logp)
+        if not tokens:
+            break
+        logp, end = normal(counts, max(train_docs / WARM_SHARE, SMOOTH))
+    before = -math.inf
+    while True:
+        counts, tokens, likelihood = expected(train, logp)
+        now = (likelihood + train_docs * end) / (tokens + train_docs) / math.log(10) if tokens + train_docs else 0.0
         logp, end = normal(counts, train_docs + SMOOTH)
-    return pieces, byte_ids, logp, end
+        if not now - before >= gain or not tokens:
+            return pieces, byte_ids, logp, end
+        before = now
 
 
 def score_documents(docs: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str = "text", held: int = 2, modulus: int = 7) -> DataFrame:
@@ -208,7 +243,9 @@ def score_documents(docs: DataFrame, vocabulary_path: str, key: str = "doc_id",
     """
     spark = docs.sparkSession
     crc = F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
-    keyed = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), (F.pmod(crc, F.lit(modulus)) != held).alias("train"))
+    whole = F.coalesce(F.col(text), F.lit(""))
+    row = [F.xxhash64(F.col(key), F.col(key).isNull(), whole).alias("r1"), F.xxhash64(whole, F.col(key).isNull(), F.col(key), F.lit(1)).alias("r2")]
+    keyed = docs.select(*row, F.col(key).alias("key"), whole.alias("text"), (F.pmod(crc, F.lit(modulus)) != held).alias("train"))
     words = stored(count_words(keyed), "words")
     sums = words.agg(F.sum("c").alias("tokens"), F.count_if(F.col("c") > 0).alias("distinct")).first()
     train_docs = keyed.where("train").count()
@@ -227,20 +264,19 @@ def score_documents(docs: DataFrame, vocabulary_path: str, key: str = "doc_id",
     common = spark.sparkContext.broadcast({bytes(r["word"]): (r["c"], math.log10(r["c"] + 1), r["lp"]) for r in commonest(priced, COMMON_WORDS).collect()})
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, task, row = common.value, TaskContext.get().partitionId(), 0
-        names = ["rid", "key", "word", "n", "tokens", "known", "base", "lp"]
+        known = common.value
+        names = ["r1", "r2", "key", "word", "n", "rows", "tokens", "known", "base", "lp"]
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 out: list[list] = [[] for _ in names]
-                for k, raw in enumerate(part.column(1).cast(pa.binary())):
+                for k, raw in enumerate(part.column(3).cast(pa.binary())):
                     tokens = _tokens(raw.as_py())
-                    rid, base, lp, in_train = (task << 36) + row, 0.0, 0.0, 0
-                    row += 1
+                    base, lp, in_train = 0.0, 0.0, 0
                     for word, n in Counter(tokens).items():
                         got = known.get(word)
                         if got is None:
-                            for column, value in zip(out, (rid, k, word, n, 0, 0, 0.0, 0.0)):
+                            for column, value in zip(out, (k, k, k, word, n, 0, 0, 0, 0.0, 0.0)):
                                 column.append(value)
                         else:
                             base += n * got[1]
@@ -248,23 +284,27 @@ def score_documents(docs: DataFrame, vocabulary_path: str, key: str = "doc_id",
                             if got[0]:
                                 in_train += n
                     # one row of sums; its word holds a blank, as no token does, and so meets no other
-                    for column, value in zip(out, (rid, k, b" %d" % rid, 0, len(tokens), in_train, base, lp)):
+                    for column, value in zip(out, (k, k, k, b" %d" % part.column(0)[k].as_py(), 0, 1, len(tokens), in_train, base, lp)):
                         column.append(value)
-                kinds_ = [pa.int64(), None, pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-                columns = [part.column(0).take(pa.array(v, pa.int64())) if t is None else pa.array(v, t) for v, t in zip(out, kinds_)]
+                kinds_ = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+                columns = [part.column(x).take(pa.array(out[x], pa.int64())) for x in range(3)] + [pa.array(v, t) for v, t in zip(out[3:], kinds_)]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = keyed.schema["key"].dataType.simpleString()
-    gathered = keyed.select("key", "text").mapInArrow(gather, f"rid long, key {kind}, word binary, n long, tokens long, known long, base double, lp double")
+    gathered = keyed.select("r1", "r2", "key", "text").mapInArrow(gather, f"r1 long, r2 long, key {kind}, word binary, n long, rows long, tokens long, known long, base double, lp double")
     rest = priced.select(F.col("word").alias("w"), F.col("c"), F.log10(F.col("c") + 1).alias("w_base"), F.col("lp").alias("w_lp"))
     joined = gathered.join(rest, F.col("word") == F.col("w"), "left")
     zero = F.lit(0)
-    sums_ = joined.groupBy("rid", "key").agg(
+    sums_ = joined.groupBy("r1", "r2", "key").agg(
+        F.sum("rows").alias("rows"),
         F.sum("tokens").alias("tokens"),
         F.sum(F.col("known") + F.when(F.col("c") > 0, F.col("n")).otherwise(zero)).alias("known"),
         F.sum(F.col("base") + F.coalesce(F.col("n") * F.col("w_base"), zero)).alias("base"),
         F.sum(F.col("lp") + F.coalesce(F.col("n") * F.col("w_lp"), zero)).alias("lp"),
     )
+    # rows that repeat key and text were summed together; each gets its share
+    share = [F.expr("tokens div rows").alias("tokens"), F.expr("known div rows").alias("known"), (F.col("base") / F.col("rows")).alias("base"), (F.col("lp") / F.col("rows")).alias("lp")]
+    sums_ = sums_.select("key", *share, F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("copy"))
     n_tokens = F.col("tokens") + 1
     rid_crc = F.crc32(F.coalesce(F.col("key").cast("string"), F.lit("")).cast("binary"))
     return sums_.select(

@@ -418,6 +418,21 @@ def test_lattice_sums_over_all_segmentations():
     assert math.exp(model.score(["é"])[0][0]) == pytest.approx(0.1 * 0.05 * 0.1)
 
 
+def test_a_hash_hit_is_confirmed_by_letters():
+    model = lattice.PieceModel(["▁", "a", "b", "ab"], [0] * 256, np.log(np.full(4, 0.25)))
+    hashes, ids, letters = model.by_length[2]
+    model.by_length[2] = (hashes, ids, letters[:, ::-1].copy())  # as if another text had the hash of "ab"
+    assert math.exp(model.score(["ab"])[0][0]) == pytest.approx(0.25**5)  # the mark by its three bytes, then a and b
+
+
+def test_repeated_rows_and_one_very_long_word(spark):
+    rows = [(1, "ab " * 3), (1, "ab " * 3), (1, "ab"), (2, "xy" * 20_000), (None, None)]
+    got = lattice.score_documents(docs_of(spark, rows), PIECES).collect()
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in got) == [(0, 1), (1, 2), (1, 4), (1, 4), (2, 2)]
+    twice = [r for r in got if r.n_tokens == 4]
+    assert twice[0] == twice[1] and all(math.isfinite(r.score) for r in got)
+
+
 def test_scores_against_brute_force(spark):
     rows = [(k, t) for k, t in enumerate(["A b\tb", "b c É", None, "", "new words", "b " * 500, "é x y", "b"])] + [(3, ""), (None, "a")]
     got = lattice.score_documents(docs_of(spark, rows), PIECES).collect()
