@@ -63,25 +63,34 @@ class PieceModel:
         prefix = np.zeros((n, length + 1), dtype=np.uint64)
         for i in range(length):
             prefix[:, i + 1] = prefix[:, i] * _BASE + codes[:, i].astype(np.uint64) + np.uint64(1)
-        power = [np.uint64(pow(int(_BASE), k, 2**64)) for k in range(min(self.longest, length) + 1)]
+        found: list[list[np.ndarray]] = [[], [], [], []]  # end, size, row and piece of every hit; no piece is -1
+        spelt = np.ones((n, length), dtype=bool)
+        for size, (hashes, ids, letters) in self.by_length.items():
+            if size > length:
+                break
+            h = prefix[:, size:] - prefix[:, : length + 1 - size] * np.uint64(pow(int(_BASE), size, 2**64))
+            at = np.searchsorted(hashes, h)
+            at[at == len(hashes)] = 0
+            rows, starts = np.nonzero(hashes[at] == h)
+            at = at[rows, starts]
+            right = (letters[at] == codes[rows[:, None], starts[:, None] + np.arange(size)]).all(axis=1)
+            rows, starts, at = rows[right], starts[right], at[right]
+            if size == 1:
+                spelt[rows, starts] = False
+            for column, values in zip(found, (starts + size, np.full(len(rows), size), rows, ids[at])):
+                column.append(values)
+        rows, starts = np.nonzero(spelt)
+        for column, values in zip(found, (starts + 1, np.zeros(len(rows), dtype=np.int64), rows, np.full(len(rows), -1))):
+            column.append(values)
+        ends, sizes, rows, ids = map(np.concatenate, found)
+        kind = ends * (self.longest + 1) + sizes
+        order = np.argsort(kind, kind="stable")
+        kind, rows, ids = kind[order], rows[order], ids[order]
+        cuts = [0, *(np.flatnonzero(np.diff(kind)) + 1).tolist(), len(kind)]
         out = []
-        for end in range(1, length + 1):
-            if 1 not in self.by_length:
-                out.append((end - 1, end, np.arange(n), None))
-            for size, (hashes, ids, letters) in self.by_length.items():
-                if size > end:
-                    break
-                h = prefix[:, end] - prefix[:, end - size] * power[size]
-                at = np.searchsorted(hashes, h)
-                at[at == len(hashes)] = 0
-                rows = np.flatnonzero(hashes[at] == h)
-                rows = rows[(letters[at[rows]] == codes[rows, end - size : end]).all(axis=1)]
-                if len(rows):
-                    out.append((end - size, end, rows, ids[at[rows]]))
-                if size == 1 and len(rows) < n:
-                    spelt = np.ones(n, dtype=bool)
-                    spelt[rows] = False
-                    out.append((end - 1, end, np.flatnonzero(spelt), None))
+        for x, y in zip(cuts, cuts[1:]):
+            end, size = divmod(int(kind[x]), self.longest + 1)
+            out.append((end - max(size, 1), end, rows[x:y], ids[x:y] if size else None))
         return out
 
     def _byte_score(self, codes: np.ndarray) -> np.ndarray:
