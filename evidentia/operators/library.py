@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidentia.operators.components import connected_components
+from evidentia.session import cut, stored
 
 
 #: Minted ids lie above this; ids given by hand or by a catalog lie below.
@@ -60,23 +61,66 @@ def move_children(children: DataFrame, mapping: DataFrame, key: str = "document_
     return moved.select(*(F.coalesce("_to", key).alias(c) if c == key else F.col(c) for c in children.columns)).distinct()
 
 
-def unify_subjects(subjects: DataFrame, doc: str, identities: list[str], names: list[str]) -> DataFrame:
+#: Distinct combinations of identities up to which a document's subjects are folded in one row.
+FOLD = 64
+
+
+def _folded(tuples: DataFrame) -> DataFrame:
+    """(tuples' columns, subject): a document's combinations folded one by one into groups that share a key."""
+    none = F.array().cast("array<struct<root: bigint, keys: array<string>>>")
+
+    def take(groups: Column, t: Column) -> Column:
+        met = F.filter(groups, lambda g: F.arrays_overlap(g["keys"], t["keys"]))
+        root = F.least(t["row_id"], F.array_min(F.transform(met, lambda g: g["root"])))
+        keys = F.array_union(t["keys"], F.flatten(F.transform(met, lambda g: g["keys"])))
+        return F.concat(F.filter(groups, lambda g: ~F.arrays_overlap(g["keys"], t["keys"])), F.array(F.struct(root.alias("root"), keys.alias("keys"))))
+
+    whole = tuples.groupBy("_d").agg(F.collect_list(F.struct(*(c for c in tuples.columns if c != "_d"))).alias("tuples"))
+    whole = whole.withColumn("groups", F.aggregate("tuples", none, take))
+    each = whole.select("_d", "groups", F.explode("tuples").alias("t"))
+    root = F.get(F.filter("groups", lambda g: F.arrays_overlap(g["keys"], F.col("t.keys"))), F.lit(0))["root"]
+    return each.select("_d", "t.*", root.alias("subject"))
+
+
+def _contracted(tuples: DataFrame) -> DataFrame:
+    """The same as `_folded` by connected components, for documents of very many combinations."""
+    each = tuples.select("_d", "row_id", F.explode("keys").alias("key"))
+    hub = each.groupBy("_d", "key").agg(F.min("row_id").alias("hub"))
+    edges = each.join(hub, ["_d", "key"]).where("row_id <> hub").select(F.col("row_id").alias("src"), F.col("hub").alias("dst"))
+    groups = connected_components(edges).withColumnRenamed("node", "row_id")
+    return tuples.join(groups, "row_id", "left").withColumn("subject", F.coalesce("component", "row_id")).drop("component")
+
+
+def unify_subjects(subjects: DataFrame, doc: str, identities: list[str], names: list[str], fold: int = FOLD) -> DataFrame:
     """One subject per group of rows of a document that share any identity.
 
     (doc, subject, <identities>, <names>, n_rows, conflict): identities and names fill nulls; two values of one identity
-    are a conflict, reported and not overwritten. `subjects` needs a unique `row_id`.
+    are a conflict, reported and not overwritten. `subjects` needs a `row_id`, a whole number; rows of a document that repeat one
+    are one subject. Rows without a document or without any identity stand alone. Rows of equal identities are combined before the shuffle; a document's combinations
+    are folded in one row up to `fold` of them, and contracted as a graph beyond it, with the same result.
     """
-    tagged = None
-    for c in identities:
-        part = subjects.where(F.col(c).isNotNull()).select("row_id", F.col(doc).alias("_d"), F.lit(c).alias("_c"), F.col(c).cast("string").alias("_v"))
-        tagged = part if tagged is None else tagged.unionByName(part)
-    hub = tagged.groupBy("_d", "_c", "_v").agg(F.min("row_id").alias("hub"))
-    edges = tagged.join(hub, ["_d", "_c", "_v"]).where("row_id <> hub").select(F.col("row_id").alias("src"), F.col("hub").alias("dst"))
-    groups = connected_components(edges).withColumnRenamed("node", "row_id")
-    named = subjects.join(groups, "row_id", "left").withColumn("subject", F.coalesce("component", "row_id"))
-    fill = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("row_id"))).alias(c)
-    clash = F.greatest(*(F.count_distinct(c) for c in identities), F.lit(0)) > 1
-    return named.groupBy(doc, "subject").agg(*(fill(c) for c in [*identities, *names]), F.count("*").alias("n_rows"), clash.alias("conflict"))
+    tag = lambda c: F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}="), F.col(c).cast("string")))
+    again = F.lit(None).cast("string")
+    repeats = cut(subjects.where(F.col(doc).isNotNull()).groupBy(doc, "row_id").count().where("count > 1").select(doc, "row_id"))
+    if not repeats.isEmpty():
+        subjects = subjects.join(repeats.withColumn("_again", F.lit(True)), [doc, "row_id"], "left")
+        again = F.when(F.col("_again"), F.concat(F.lit("#row="), F.col("row_id").cast("string")))
+    keys = F.array_compact(F.array(*map(tag, identities), again))
+    alone = F.when(F.col(doc).isNull() | (F.size(keys) == 0), F.col("row_id"))
+    first = [F.min(F.when(F.col(c).isNotNull(), F.struct(F.col("row_id").alias("at"), F.col(c).alias("value")))).alias(f"_n{i}") for i, c in enumerate(names)]
+    by = [F.col(c).alias(f"_i{i}") for i, c in enumerate(identities)]
+    rows = subjects.groupBy(F.col(doc).alias("_d"), *by, keys.alias("keys"), alone.alias("alone")).agg(F.min("row_id").cast("long").alias("row_id"), F.count("*").alias("n"), *first)
+    rows = stored(rows, "subjects")
+    single = rows.where("alone is not null").withColumn("subject", F.col("row_id")).drop("alone")
+    tuples = rows.where("alone is null").drop("alone")
+    large = tuples.groupBy("_d").count().where(F.col("count") > fold).select("_d")
+    named = _folded(tuples.join(large, "_d", "left_anti")).unionByName(single)
+    if not large.isEmpty():
+        named = named.unionByName(_contracted(tuples.join(large, "_d", "left_semi")))
+    filled = [F.min(F.when(F.col(f"_i{i}").isNotNull(), F.struct("row_id", f"_i{i}")))[f"_i{i}"].alias(c) for i, c in enumerate(identities)]
+    filled += [F.min(f"_n{i}")["value"].alias(c) for i, c in enumerate(names)]
+    clash = F.greatest(*(F.count_distinct(f"_i{i}") for i in range(len(identities))), F.lit(0)) > 1
+    return named.groupBy(F.col("_d").alias(doc), "subject").agg(*filled, F.sum("n").alias("n_rows"), clash.alias("conflict"))
 
 
 def class_judgments(held: DataFrame, given: DataFrame, sources: list[str]) -> DataFrame:
