@@ -55,3 +55,13 @@ def test_charset_ladder():
     assert tables.decode_bytes("あ".encode("cp932"), "Shift_JIS")[:2] == ("あ", "cp932")
     assert tables.decode_bytes(b"<meta charset=iso-8859-1>\xe9", "nonsense")[0].endswith("é")
     assert tables.decode_bytes(b"\x81\xff\xfe", None)[2] is True
+
+
+def test_no_table_of_pages_is_broadcast(spark):
+    """Sizes estimated from compressed files call every table small; a broadcast would collect the pages on the driver."""
+    pages = spark.createDataFrame([(1, "https://h/m.cgi?id=12", "s")], "page_id int, url string, content_sha string")
+    blobs = spark.createDataFrame([("s", PAGE)], "content_sha string, content string")
+    job = tables.extract_models(pages, blobs, r"id=(\d+)", "Cat No.", F.regexp_extract("url", r"id=(\d+)", 1).try_cast("long"))
+    assert [r.outcome for r in job.collect()] == ["ok"]
+    plan = job._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
