@@ -136,6 +136,5 @@ def capture_index(spark, sf):
     status = F.when(k % 2 == 0, "200").otherwise("404")
     row = lambda n: F.array(status, F.concat(F.lit("2011010"), k % 9 + 1, F.lit(f"00000{n}")), F.lit("text/html"), F.col("url"))
     head = F.array(*map(F.lit, ("statuscode", "timestamp", "mimetype", "original")))
-    lists = table(spark, sf, "pages").select(F.to_json(F.array(head, row(1), row(2))).alias("body"))
-    found = readers.capture_list(lists, "body")
-    return found.join(table(spark, sf, "pages").select("page_id", F.col("url").alias("original")), "original").select("page_id", F.substring("timestamp", -1, 1).cast("long").alias("n"), "timestamp", "original", "statuscode")
+    lists = table(spark, sf, "pages").select("page_id", F.to_json(F.array(head, row(1), row(2))).alias("body"))
+    return readers.capture_list(lists, "body", "page_id").select("page_id", F.substring("timestamp", -1, 1).cast("long").alias("n"), "timestamp", "original", "statuscode")

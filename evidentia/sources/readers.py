@@ -124,9 +124,9 @@ def watermarks(frames: dict[str, DataFrame], observed: dict[str, str]) -> DataFr
     return out
 
 
-def capture_list(rows: DataFrame, column: str) -> DataFrame:
-    """A JSON array of arrays whose first row names the fields, as one map-free row per capture: (timestamp, original, mimetype, statuscode)."""
-    parsed = rows.select(F.from_json(column, "array<array<string>>").alias("a"))
-    each = parsed.select(F.get("a", 0).alias("head"), F.posexplode("a").alias("i", "v")).where("i > 0")
+def capture_list(rows: DataFrame, column: str, *keys: str) -> DataFrame:
+    """A JSON array of arrays whose first row names the fields, as one map-free row per capture: (keys of its list, timestamp, original, mimetype, statuscode)."""
+    parsed = rows.select(*keys, F.from_json(column, "array<array<string>>").alias("a"))
+    each = parsed.select(*keys, F.get("a", 0).alias("head"), F.posexplode("a").alias("i", "v")).where("i > 0")
     at = lambda name: F.get("v", F.array_position("head", name).cast("int") - 1).alias(name)
-    return each.select(at("timestamp"), at("original"), at("mimetype"), at("statuscode"))
+    return each.select(*keys, at("timestamp"), at("original"), at("mimetype"), at("statuscode"))
