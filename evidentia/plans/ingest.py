@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from evidentia.operators import checks
@@ -78,8 +79,12 @@ def work_list_file(spark, sf):
     k = F.col("page_id")
     line = F.when(k % 5 == 0, F.when(k % 2 == 0, "").otherwise(F.concat(F.lit("# "), "url"))).otherwise(F.concat(F.lit(" "), "url", F.when(k % 3 > 0, F.concat(F.lit("\t q "), k)).otherwise("")))
     table(spark, sf, "pages").select(line.alias("value")).write.text(path)
-    listed = readers.work_list(spark, path)
-    return listed.join(table(spark, sf, "pages").select("page_id", "url"), "url").select("page_id", "url", "query")
+    # pages may share an address: equal lines are told apart by their count alone, and the n-th of them is the n-th page's
+    nth = F.row_number().over(Window.partitionBy("url", "query").orderBy("page_id")).alias("nth")
+    asked = table(spark, sf, "pages").where(k % 5 > 0).select("page_id", F.trim("url").alias("url"), F.when(k % 3 > 0, F.concat(F.lit("q "), k)).alias("query")).select("*", nth).alias("a")
+    listed = readers.work_list(spark, path).select("*", F.row_number().over(Window.partitionBy("url", "query").orderBy("url")).alias("nth")).alias("l")
+    same = (F.col("a.url") == F.col("l.url")) & F.col("a.query").eqNullSafe(F.col("l.query")) & (F.col("a.nth") == F.col("l.nth"))
+    return listed.join(asked, same).select("page_id", "l.url", "l.query")
 
 
 @query("""
