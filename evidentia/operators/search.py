@@ -87,20 +87,36 @@ def snippet(docs: DataFrame, terms: list[str], key: str, text: str, width: int =
     return chosen.select(key, F.concat(F.when(F.col("at") > 0, "… ").otherwise(""), body, F.when(F.col("at") + width < F.size("shown"), " …").otherwise("")).alias("snippet"))
 
 
-def line_tokens(lines: DataFrame, key: str, *columns: str) -> DataFrame:
-    """(key, columns, at, token): the tokens of a line table at their places in the document."""
-    order = Window.partitionBy(key).orderBy("line_no")
-    counted = lines.select(key, "line_no", *columns, F.explode(F.array(tokens(F.col("line")))).alias("tokens"))
-    counted = counted.withColumn("start", F.sum(F.size("tokens")).over(order) - F.size("tokens"))
-    return counted.select(key, *columns, F.posexplode("tokens").alias("p", "token"), "start").select(key, *columns, (F.col("start") + F.col("p")).alias("at"), "token")
+def line_hits(lines: DataFrame, phrase: list[str], key: str, *columns: str) -> DataFrame:
+    """(key, line_no, columns, n, starts) of lines with tokens: how many, and the places in the line where the phrase starts.
+
+    A match may run on over line ends. Only the tokens at both ends of a line go through the window over lines, so no task sorts a text's tokens.
+    """
+    m = len(phrase)
+    none = F.array().cast("array<string>")
+    cut_up = lines.select(key, "line_no", *columns, F.explode(F.array(tokens(F.col("line")))).alias("tokens")).where(F.size("tokens") > 0)
+
+    def found(words: str) -> Column:
+        test = lambda t, i: reduce(lambda a, b: a & b, ((t if j == 0 else F.get(words, i + j)) == w for j, w in enumerate(phrase)))
+        return F.filter(F.transform(words, lambda t, i: F.when(test(t, i), i)), lambda i: i.isNotNull())
+
+    n = F.size("tokens")
+    rows = cut_up.select(
+        key, "line_no", *columns, n.alias("n"), found("tokens").alias("starts"),
+        (F.slice("tokens", 1, m - 1) if m > 1 else none).alias("head"), (F.slice("tokens", F.greatest(n - m + 2, F.lit(1)), F.lit(m - 1)) if m > 1 else none).alias("tail"),
+    )
+    if m > 1:  # a line has a token at least, so the rest of a match is in the next m - 1 of them
+        order = Window.partitionBy(key).orderBy("line_no")
+        rows = rows.withColumn("over", F.concat("tail", *(F.coalesce(F.lead("head", j).over(order), none) for j in range(1, m))))
+        beyond = F.filter(found("over"), lambda i: i < F.size("tail"))
+        rows = rows.withColumn("starts", F.concat("starts", F.transform(beyond, lambda i: i + F.col("n") - F.size("tail"))))
+    return rows.select(key, "line_no", *columns, "n", "starts")
 
 
 def matched_regions(lines: DataFrame, phrase: list[str], key: str, regions: list[str]) -> DataFrame:
     """(key, regions, matches): where a phrase occurs, by the region that each match starts in; a match may run over line ends."""
-    each = line_tokens(lines, key, *regions)
-    following = Window.partitionBy(key).orderBy("at")
-    ahead = reduce(lambda a, b: a & b, ((F.col("token") == w) if j == 0 else F.coalesce(F.lead("token", j).over(following) == w, F.lit(False)) for j, w in enumerate(phrase)))
-    return each.withColumn("hit", ahead).where("hit").groupBy(key, *regions).agg(F.count("*").alias("matches"))
+    each = line_hits(lines, phrase, key, *regions).where(F.size("starts") > 0)
+    return each.groupBy(key, *regions).agg(F.sum(F.size("starts").cast("long")).alias("matches"))
 
 
 def bm25(docs: DataFrame, phrases: list[list[str]], key: str, text: str) -> DataFrame:
