@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidentia.functions.text import tokens
-from evidentia.session import cut
+from evidentia.session import cut, stored
 
 #: Fixed values of the ranking function: saturation, length normalisation, and the least inverse document frequency.
 K1, B, LEAST_IDF = 1.2, 0.75, 1e-6
@@ -160,14 +160,11 @@ def match_windows(lines: DataFrame, phrase: list[str], words: int, key: str = "u
     (key, section_start, first_line, last_line, matches); a match belongs to the region it starts in.
     """
     order = Window.partitionBy(key).orderBy("line_no")
-    counted = lines.select(key, "line_no", F.coalesce("section_start", F.lit(-1)).alias("section_start"), tokens(F.col("line")).alias("tokens"))
-    counted = counted.withColumn("stop", F.sum(F.size("tokens")).over(order)).withColumn("start", F.col("stop") - F.size("tokens"))
-    each = counted.select(key, "line_no", "section_start", "start", F.posexplode("tokens").alias("p", "token"))
-    each = each.select(key, "line_no", "section_start", (F.col("start") + F.col("p")).alias("at"), "token")
-    following = Window.partitionBy(key).orderBy("at")
-    ahead = reduce(lambda a, b: a & b, ((F.col("token") == w) if j == 0 else F.coalesce(F.lead("token", j).over(following) == w, F.lit(False)) for j, w in enumerate(phrase)))
-    hits = each.withColumn("hit", ahead).where("hit").select(key, "section_start", (F.col("at") - words // 2).alias("from"), (F.col("at") + len(phrase) - 1 + words // 2).alias("to"), F.col("line_no").alias("hit_line"))
-    spans = counted.where("stop > start").select(F.col(key).alias("k"), F.col("section_start").alias("s"), "line_no", "start", F.col("stop").alias("end"))
+    each = line_hits(lines.withColumn("section_start", F.coalesce("section_start", F.lit(-1))), phrase, key, "section_start")
+    counted = stored(each.withColumn("stop", F.sum(F.col("n").cast("long")).over(order)).withColumn("start", F.col("stop") - F.col("n")), "window-lines")  # without the text
+    hits = counted.select(key, "section_start", F.col("line_no").alias("hit_line"), "start", F.explode("starts").alias("p")).withColumn("at", F.col("start") + F.col("p"))
+    hits = hits.select(key, "section_start", (F.col("at") - words // 2).alias("from"), (F.col("at") + len(phrase) - 1 + words // 2).alias("to"), "hit_line")
+    spans = counted.select(F.col(key).alias("k"), F.col("section_start").alias("s"), "line_no", "start", F.col("stop").alias("end"))
     near = hits.join(spans, (F.col(key) == F.col("k")) & (F.col("section_start") == F.col("s")) & (F.col("start") <= F.col("to")) & (F.col("end") > F.col("from")))
     wide = near.groupBy(key, "section_start", "from", "to", "hit_line").agg(F.min("line_no").alias("a"), F.max("line_no").alias("b"))
     w = Window.partitionBy(key, "section_start").orderBy("a", "b", "from")
