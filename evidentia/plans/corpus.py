@@ -102,14 +102,18 @@ def quote_hits(spark, sf):
     return navigate.quote_sentences(table(spark, sf, "documents"), "Of  the", "doc_id").select("doc_id", "sentence")
 
 
-def _marked(spark, sf):
+def _marked_texts(spark, sf):
     """Documents with headings and pages put between their lines: a heading before every fifth, a page end after every eighth."""
     extra = lambda l, i: F.concat(
         F.when(i % 5 == 0, F.array(F.concat(F.repeat(F.lit("#"), F.floor(i / 5).cast("int") % 3 + 1), F.lit(" "), F.substring(l, 1, 20)))).otherwise(F.array().cast("array<string>")),
         F.array(l), F.when(i % 8 == 7, F.array(F.lit("\f"))).otherwise(F.array().cast("array<string>")),
     )
-    docs = table(spark, sf, "documents").select("doc_id", F.array_join(F.flatten(F.transform(F.split("text", "\n"), extra)), "\n").alias("text"))
-    return navigate.lines_table(docs, "doc_id")
+    return table(spark, sf, "documents").select("doc_id", F.array_join(F.flatten(F.transform(F.split("text", "\n"), extra)), "\n").alias("text"))
+
+
+def _marked(spark, sf):
+    """Their lines."""
+    return navigate.lines_table(_marked_texts(spark, sf), "doc_id")
 
 
 _LINES = r"""
