@@ -7,8 +7,9 @@ import re
 from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import filterfalse, groupby
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,6 +25,8 @@ SCRIPT_SHARE = 0.005
 BACKOFF = 2.0
 #: Chunks and letter groups a worker remembers, the chunks between two looks at that bound, and the longest chunk remembered; they bound memory only.
 MEMO_WORDS, MEMO_GRAMS, LOOK, KEPT = 100_000, 100_000, 10_000, 64
+#: Letter groups whose scores are gathered at once; bounds memory only.
+GATHERED = 1 << 18
 #: Least share of a document's letters that its language must hold to be kept.
 KEEP = 0.5
 
@@ -43,6 +46,7 @@ SCRIPTS = [
 ]
 _STARTS = [start for start, _ in SCRIPTS]
 _LETTERS = re.compile(r"[^\W\d_]+")
+_RUNS = re.compile(r"[^\W\d_]+|\n")
 
 
 def script_of(char: str) -> str:
@@ -79,6 +83,12 @@ class LetterModel:
                 if n >= SCRIPT_SHARE * letters:
                     self.users[script].add(k)
         self.memo: dict[str, tuple[float, ...]] = {}
+        #: By script range: the languages that take part in its words; all of them where no language uses it.
+        self.takes = np.array([[k in self.users[name] for k in range(len(self.languages))] if self.users.get(name) else [True] * len(self.languages) for _, name in SCRIPTS], dtype=bool)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.rows = np.zeros(0, dtype=np.int64), np.zeros((0, len(self.languages)))
 
     def _gram(self, gram: str) -> tuple[float, ...]:
         got = self.memo.get(gram)
@@ -105,6 +115,43 @@ class LetterModel:
             sums = [s if k in users else floor for k, s in enumerate(sums)]
         return sums
 
+    def _rows(self, keys: np.ndarray) -> np.ndarray:
+        """The scores of letter groups, each three code points in one number; new groups are added to the sorted table."""
+        at = np.searchsorted(self.known, keys)
+        new = np.ones(len(keys), dtype=bool)
+        inside = at < len(self.known)
+        new[inside] = self.known[at[inside]] != keys[inside]
+        if new.any():
+            fresh = np.unique(keys[new])
+            if len(self.known) + len(fresh) > MEMO_GRAMS:
+                self._forget()
+                fresh = np.unique(keys)
+            rows = np.array([self._gram("".join(chr(key >> shift & 0x1FFFFF) for shift in (42, 21, 0))) for key in fresh.tolist()])
+            order = np.argsort(known := np.concatenate([self.known, fresh]), kind="stable")
+            self.known, self.rows = known[order], np.concatenate([self.rows, rows])[order]
+            at = np.searchsorted(self.known, keys)
+        return self.rows[at]
+
+    def score_all(self, words: list[str]) -> np.ndarray:
+        """The same as `score` for many words at once, a row each."""
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 3
+        starts = np.cumsum(sizes) - sizes
+        codes = np.frombuffer(("  " + "   ".join(words) + " ").encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+        sums = np.zeros((len(words), len(self.languages)))
+        opens = np.ones(len(codes), dtype=bool)  # a group opens anywhere but at a padded word's last two places
+        opens[starts + sizes - 1] = opens[starts + sizes - 2] = False
+        for at in range(0, len(codes) - 2, GATHERED):
+            part = codes[at : at + GATHERED + 2]
+            here = np.flatnonzero(opens[at : at + len(part) - 2])
+            if not len(here):
+                continue
+            rows = self._rows(part[here] << 42 | part[here + 1] << 21 | part[here + 2])
+            word = np.searchsorted(starts, here + at, "right") - 1
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            sums[word[first]] += np.add.reduceat(rows, first)
+        takes = self.takes[np.searchsorted(_STARTS, codes[starts + 2], "right") - 1]
+        return np.where(takes, sums, sums.min(axis=1, keepdims=True) - 2 * SWITCH)
+
 
 class Labeller(dict):
     """chunk -> (best language, scores, letters), or None without letters."""
@@ -112,14 +159,27 @@ class Labeller(dict):
     def __init__(self, model: LetterModel):
         self.model = model
 
-    def __missing__(self, chunk: str):
-        words, got = words_of(chunk), None
-        if words:
-            scores = tuple(map(sum, zip(*map(self.model.score, words))))
-            got = (scores.index(max(scores)), scores, sum(map(len, words)))
-        if len(chunk) <= KEPT:
-            self[chunk] = got
-        return got
+    def learn(self, chunks: list[str]) -> None:
+        """Score all words of new chunks together."""
+        runs = _RUNS.findall("\n".join(chunks).lower() + "\n")
+        words: list[str] = []
+        ends = []
+        for run in runs:
+            if run == "\n":
+                ends.append(len(words))
+            elif run.isalpha():
+                words.append(run)
+            else:
+                words += words_of(run)
+        self.update(dict.fromkeys(chunks))
+        if not words:
+            return
+        ends_ = np.array(ends)
+        starts = np.concatenate([[0], ends_[:-1]])
+        some = np.flatnonzero(ends_ > starts)
+        sums = np.add.reduceat(self.model.score_all(words), starts[some])
+        letters = np.add.reduceat(np.fromiter(map(len, words), dtype=np.int64, count=len(words)), starts[some])
+        self.update(zip(map(chunks.__getitem__, some.tolist()), zip(sums.argmax(axis=1).tolist(), map(tuple, sums.tolist()), letters.tolist())))
 
     def label(self, chunks: list[str]) -> tuple[list, list[int]]:
         """Items with letters and each one's language on the best path."""
@@ -127,7 +187,14 @@ class Labeller(dict):
         for at in range(0, len(chunks), LOOK):  # the bound holds within a long text too
             if len(self) > MEMO_WORDS:
                 self.clear()
-            items += [x for x in map(self.__getitem__, chunks[at : at + LOOK]) if x is not None]
+            part = chunks[at : at + LOOK]
+            new = list(filterfalse(self.__contains__, set(part)))
+            if new:
+                self.learn(new)
+            items += filter(None, map(self.__getitem__, part))
+            for chunk in new:
+                if len(chunk) > KEPT:
+                    del self[chunk]
         return items, best_path(items, len(self.model.languages))
 
 

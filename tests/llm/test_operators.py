@@ -321,6 +321,20 @@ def test_best_path_equals_plain_viterbi():
             assert value(path) == pytest.approx(v.max())
 
 
+def test_words_scored_together_score_as_alone():
+    grams = [("aa", g, n) for g, n in (("  a", 3), (" ab", 2), ("ab ", 2), ("aж ", 1))] + [("bb", "  ж", 4), ("bb", " жж", 2), ("bb", "жж ", 9)]
+    model = language.LetterModel(grams)
+    words = ["a", "ab", "жж", "жab", "x" * 300_000, "אב", "𐐨a", "ab"]
+    for gathered in (language.GATHERED, 3):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(language, "GATHERED", gathered)
+            some = words if gathered > 3 else [w for w in words if len(w) < 9]
+            assert np.allclose(model.score_all(some), [model.score(w) for w in some], rtol=1e-9)
+    labeller = language.Labeller(model)
+    items, _ = labeller.label(["ab,", "1", "½ab", "y" * 100, "Жж", "ab,"])
+    assert [i[2] for i in items] == [2, 2, 100, 2, 2] and items[0] == items[4] and "y" * 100 not in labeller
+
+
 def test_language_held_out(spark, sf):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language.fit(docs)
