@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from copy import copy
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ HELD_WORDS = 400_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MARK = 0x2581  # the sign that opens a word
+_TOP = np.uint64(48)  # the first 16 bits of a hash
 
 
 class PieceModel:
@@ -46,6 +48,14 @@ class PieceModel:
             found.sort()
             letters = np.array([[ord(c) for c in pieces[i]] for _, i in found], dtype=np.uint32)
             self.by_length[size] = (np.array([h for h, _ in found], dtype=np.uint64), np.array([i for _, i in found], dtype=np.int64), letters)
+        #: By length: which first bits of a hash any piece has.
+        self.opening = {size: np.isin(np.arange(1 << 16, dtype=np.uint64), hashes >> _TOP) for size, (hashes, _, _) in self.by_length.items()}
+
+    def weighted(self, logp: np.ndarray) -> PieceModel:
+        """The same pieces with other scores."""
+        other = copy(self)
+        other.logp = logp
+        return other
 
     @staticmethod
     def _hash(piece: str) -> int:
@@ -69,10 +79,12 @@ class PieceModel:
             if size > length:
                 break
             h = prefix[:, size:] - prefix[:, : length + 1 - size] * np.uint64(pow(int(_BASE), size, 2**64))
+            rows, starts = np.nonzero(self.opening[size][h >> _TOP])  # most places are no piece and go here
+            h = h[rows, starts]
             at = np.searchsorted(hashes, h)
             at[at == len(hashes)] = 0
-            rows, starts = np.nonzero(hashes[at] == h)
-            at = at[rows, starts]
+            same = hashes[at] == h
+            rows, starts, at = rows[same], starts[same], at[same]
             right = (letters[at] == codes[rows[:, None], starts[:, None] + np.arange(size)]).all(axis=1)
             rows, starts, at = rows[right], starts[right], at[right]
             if size == 1:
@@ -196,6 +208,7 @@ def fit(words: DataFrame, vocabulary_path: str, train_docs: int, gain: float = G
     pieces, byte_ids, start = read_vocabulary(vocabulary_path)
     usable = start > 0
     spark = words.sparkSession
+    shape = spark.sparkContext.broadcast(PieceModel(pieces, byte_ids, start))  # a worker keeps it over all rounds
     train = words.where("c > 0").select("word", "c")
     warm = train.where(F.pmod(F.xxhash64("word"), F.lit(WARM_SHARE)) == 0)
 
@@ -209,8 +222,8 @@ def fit(words: DataFrame, vocabulary_path: str, train_docs: int, gain: float = G
         shared = spark.sparkContext.broadcast(logp)
 
         def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            model = PieceModel(pieces, byte_ids, shared.value)
-            total, tokens, likelihood = np.zeros(len(pieces)), 0.0, 0.0
+            model = shape.value.weighted(shared.value)
+            total, tokens, likelihood = np.zeros(len(model.logp)), 0.0, 0.0
             for batch in batches:
                 c = batch.column(1).to_numpy().astype(float)
                 lp, got = model.score([_text(w) for w in batch.column(0).to_pylist()], c)
@@ -261,10 +274,10 @@ def score_documents(docs: DataFrame, vocabulary_path: str, key: str = "doc_id",
     total = (sums["tokens"] or 0) + train_docs
     kinds = (sums["distinct"] or 0) + (train_docs > 0)
     pieces, byte_ids, logp, end = fit(words, vocabulary_path, train_docs)
-    shared = spark.sparkContext.broadcast(logp)
+    shared = spark.sparkContext.broadcast(PieceModel(pieces, byte_ids, logp))
 
     def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = PieceModel(pieces, byte_ids, shared.value)
+        model = shared.value
         for batch in batches:
             got, _ = model.score([_text(w) for w in batch.column(0).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got / math.log(10))], ["word", "c", "n", "lp"])
@@ -278,25 +291,31 @@ def score_documents(docs: DataFrame, vocabulary_path: str, key: str = "doc_id",
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                out: list[list] = [[] for _ in names]
-                for k, raw in enumerate(part.column(3).cast(pa.binary())):
+                words_: list[bytes] = []
+                counts: list[int] = []
+                ends, sums = [0], []
+                for raw in part.column(3).cast(pa.binary()):
                     tokens = _tokens(raw.as_py())
                     base, lp, in_train = 0.0, 0.0, 0
                     for word, n in Counter(tokens).items():
                         got = known.get(word)
                         if got is None:
-                            for column, value in zip(out, (k, k, k, word, n, 0, 0, 0, 0.0, 0.0)):
-                                column.append(value)
+                            words_.append(word)
+                            counts.append(n)
                         else:
                             base += n * got[1]
                             lp += n * got[2]
                             if got[0]:
                                 in_train += n
-                    # one row of sums; its word holds a blank, as no token does, and so meets no other
-                    for column, value in zip(out, (k, k, k, b" %d" % part.column(0)[k].as_py(), 0, 1, len(tokens), in_train, base, lp)):
-                        column.append(value)
-                kinds_ = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-                columns = [part.column(x).take(pa.array(out[x], pa.int64())) for x in range(3)] + [pa.array(v, t) for v, t in zip(out[3:], kinds_)]
+                    ends.append(len(words_))
+                    sums.append((1, len(tokens), in_train, base, lp))
+                # a row for each rare word, then one row of sums for each document; its word holds a blank, as no token does, and so meets no other
+                docs_ = np.arange(part.num_rows)
+                owner = pa.array(np.concatenate([np.repeat(docs_, np.diff(ends)), docs_]))
+                marks = [b" %d" % r for r in part.column(0).to_pylist()]
+                columns = [part.column(x).take(owner) for x in range(3)] + [pa.array(words_ + marks, pa.binary()), pa.array(counts + [0] * len(marks), pa.int64())]
+                for values, kind_ in zip(zip(*sums), (np.int64, np.int64, np.int64, float, float)):
+                    columns.append(pa.array(np.concatenate([np.zeros(len(words_), dtype=kind_), np.array(values, dtype=kind_)])))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = keyed.schema["key"].dataType.simpleString()

@@ -430,6 +430,9 @@ def test_lattice_sums_over_all_segmentations():
         spelt = sum(len(p) * e for p, e in zip(pieces, expected))
         assert spelt == pytest.approx(2.0 * (len(word) + 1) + 2)  # expected pieces spell the words
     assert math.exp(model.score(["é"])[0][0]) == pytest.approx(0.1 * 0.05 * 0.1)
+    other = model.weighted(logp - 1.0)  # a round's scores on the same table of pieces
+    assert other.by_length is model.by_length and model.logp is logp
+    assert other.score(["ab", "é"])[0] == pytest.approx(lattice.PieceModel(pieces, byte_ids, logp - 1.0).score(["ab", "é"])[0])
 
 
 def test_a_hash_hit_is_confirmed_by_letters():
