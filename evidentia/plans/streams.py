@@ -34,8 +34,23 @@ _DELIVERIES = f"""f as ({_FETCH}), s as (select id, url, fetched_at, content_sha
 d as (select id, url, fetched_at, content_sha, case when id % 17 = 0 then least(4, part + 1) else part end as batch from s union all select id, url, fetched_at, content_sha, least(4, part + 2) from s where id % 23 = 0)"""
 
 
+#: Fetches that a file of a delivery holds, about.
+_FILE_ROWS = 1 << 18
+
+
+def _land(rows: DataFrame, folder: str, files: int) -> None:
+    """Append exactly `files` files, empty ones at need, so that a trigger of so many files takes a delivery."""
+    spark = rows.sparkSession
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/part-*")
+    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    before = len(fs.globStatus(pattern) or [])
+    rows.repartition(files).write.mode("append").parquet(folder)
+    while len(fs.globStatus(pattern)) < before + files:
+        rows.limit(0).coalesce(1).write.mode("append").parquet(folder)
+
+
 def _delivered(spark: SparkSession, sf: str, folder: str) -> DataFrame:
-    """The fetch log as a stream of five files, in order."""
+    """The fetch log as a stream of five deliveries, in order, each of as many files as the largest needs."""
     events = table(spark, sf, "events")
     log = events.select(F.col("event_id").alias("id"), F.concat(F.lit("https://h/"), "user_id").alias("url"), F.col("ts").cast("timestamp").alias("fetched_at"), F.md5("event_type").alias("content_sha"))
     start = log.agg(F.min("fetched_at").alias("start"))
@@ -44,9 +59,11 @@ def _delivered(spark: SparkSession, sf: str, folder: str) -> DataFrame:
     batch = F.when(F.col("id") % 17 == 0, F.least(F.lit(4), F.col("part") + 1)).otherwise(F.col("part"))
     again = placed.where("id % 23 = 0").withColumn("batch", F.least(F.lit(4), F.col("part") + 2))
     rows = placed.withColumn("batch", batch).unionByName(again).drop("start", "part")
+    largest = rows.groupBy("batch").count().agg(F.max("count")).first()[0] or 0
+    files = max(1, -(-largest // _FILE_ROWS))
     for n in range(5):  # one delivery after another, as files arrive
-        rows.where(F.col("batch") == n).drop("batch").coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(_LOG).option("maxFilesPerTrigger", 1).parquet(folder)
+        _land(rows.where(F.col("batch") == n).drop("batch"), folder, files)
+    return spark.readStream.schema(_LOG).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 @query(f"with {_DELIVERIES} select url, strftime(min(fetched_at), '%Y-%m-%d %H:%M:%S') as first_fetched_at, strftime(max(fetched_at), '%Y-%m-%d %H:%M:%S') as last_fetched_at, arg_max(content_sha, (fetched_at, id)) as content_sha from d group by url")

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _ROW = "url string, first_fetched_at timestamp, last_fetched_at timestamp, content_sha string, last_id long"
-_MANIFEST = "level int, bucket int, generation long, through long, rows long"
+_MANIFEST = "level int, bucket int, generation long, through long, rows long, folder int"
+#: Small buckets share a folder: a generation has at most FOLDERS of them, and more only if those held more than FOLDER_ROWS rows each.
+FOLDERS, FOLDER_ROWS = 64, 1 << 18
 
 
 @dataclass
@@ -16,8 +18,8 @@ class CaptureTable:
     """The newest capture of every url, under one shared folder.
 
     * `delta/batch=N`: the fold of micro-batch N, written over if the batch runs twice;
-    * `base/level=L/generation=G/bucket=B`: compacted rows; a url's bucket is its hash modulo 2^L;
-    * `manifest/commit=C`: (level, bucket, generation, through, rows), which generation of a bucket counts and up to which batch its
+    * `base/level=L/generation=G/bucket=B`: compacted rows of bucket B, and of those after it that share its folder; a url's bucket is its hash modulo 2^L;
+    * `manifest/commit=C`: (level, bucket, generation, through, rows, folder), which generation of a bucket counts and up to which batch its
       deltas are inside it. A commit is one small file written last, so files of a failed compaction are never read.
 
     A bucket is compacted when its deltas exceed `share` of its base rows; when the buckets hold more than `bucket_rows`
@@ -40,14 +42,15 @@ class CaptureTable:
         return self.spark.read.schema(schema).option("basePath", f"{self.path}/{name}").parquet(f"{self.path}/{name}")
 
     def manifest(self) -> tuple[int, DataFrame]:
-        """The newest level, and (bucket, generation, through, rows) of its buckets; none before the first compaction.
+        """The newest level, and (bucket, generation, through, rows, folder) of its buckets; none before the first compaction.
 
         A level has a bucket for every `bucket_rows` rows, so the driver may hold its list.
         """
         rows = self._read("manifest", _MANIFEST + ", commit long")
-        known = rows.groupBy("level", "bucket").agg(F.max_by(F.struct("generation", "through", "rows"), "commit").alias("m")).select("level", "bucket", "m.*").collect()
+        newest = F.struct("generation", "through", "rows", F.coalesce("folder", "bucket").alias("folder"))
+        known = rows.groupBy("level", "bucket").agg(F.max_by(newest, "commit").alias("m")).select("level", "bucket", "m.*").collect()
         level = max((r["level"] for r in known), default=self.first_level)
-        return level, self.spark.createDataFrame([r[1:] for r in known if r["level"] == level], "bucket int, generation long, through long, rows long")
+        return level, self.spark.createDataFrame([r[1:] for r in known if r["level"] == level], "bucket int, generation long, through long, rows long, folder int")
 
     def _bucket(self, level: int):
         return F.pmod(F.xxhash64("url"), F.lit(1 << level)).cast("int")
@@ -57,8 +60,22 @@ class CaptureTable:
         rows = self._read("delta", _ROW + ", batch long").withColumn("bucket", self._bucket(level))
         return rows.join(F.broadcast(held.select("bucket", "through")), "bucket", "left").where(F.col("through").isNull() | (F.col("batch") > F.col("through"))).drop("through")
 
+    @staticmethod
+    def _span(level: int, rows: int) -> int:
+        """How many buckets one folder holds."""
+        folders = FOLDERS
+        while folders * FOLDER_ROWS < rows:
+            folders *= 2
+        return max(1, (1 << level) // folders)
+
     def _base(self, level: int, held: DataFrame) -> DataFrame:
-        rows = self._read("base", _ROW + ", level int, generation long, bucket int").where(F.col("level") == level)
+        """Rows of the buckets' own generations; only folders that a bucket uses are read."""
+        used = sorted({(r["generation"], r["folder"]) for r in held.where("rows > 0").select("generation", "folder").collect()})
+        schema = _ROW + ", level int, generation long, bucket int"
+        if not used:
+            return self.spark.createDataFrame([], schema)
+        paths = [f"{self.path}/base/level={level}/generation={g}/bucket={b}" for g, b in used]
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/base").parquet(*paths).withColumn("bucket", self._bucket(level))
         return rows.join(F.broadcast(held.select("generation", "bucket")), ["generation", "bucket"])
 
     @staticmethod
@@ -99,12 +116,17 @@ class CaptureTable:
                 level += 1
             rows, due = rows.withColumn("bucket", self._bucket(level)), list(range(1 << level))
         else:
-            rows = rows.withColumn("bucket", self._bucket(level)).where(F.col("bucket").isin(due))
+            rows = rows.withColumn("bucket", self._bucket(level))
+        named = self.spark.createDataFrame([(b,) for b in due], "bucket int")
+        if len(due) < 1 << level:
+            rows = rows.join(F.broadcast(named), "bucket", "left_semi")
+        span = F.lit(self._span(level, held + sum(waiting.values())))
         folder = f"{self.path}/base/level={level}/generation={batch}"
-        self.folded(rows, "bucket").repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(folder)
-        written = self.spark.read.schema(_ROW + ", bucket int").parquet(folder).groupBy("bucket").agg(F.count("*").alias("rows"))
-        named = self.spark.createDataFrame([(b,) for b in due], "bucket int").join(written, "bucket", "left")
-        commit = named.select(F.lit(level).alias("level"), "bucket", F.lit(batch).cast("long").alias("generation"), F.lit(batch).cast("long").alias("through"), F.coalesce("rows", F.lit(0)).cast("long").alias("rows"))
+        shared = self.folded(rows, "bucket").withColumn("bucket", (F.col("bucket") - F.col("bucket") % span).cast("int"))
+        shared.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(folder)
+        written = self.spark.read.schema(_ROW + ", bucket int").parquet(folder).groupBy(self._bucket(level).alias("bucket")).agg(F.count("*").alias("rows"), F.first("bucket").alias("folder"))
+        named = named.join(written, "bucket", "left").withColumn("folder", F.coalesce("folder", "bucket"))
+        commit = named.select(F.lit(level).alias("level"), "bucket", F.lit(batch).cast("long").alias("generation"), F.lit(batch).cast("long").alias("through"), F.coalesce("rows", F.lit(0)).cast("long").alias("rows"), "folder")
         commit.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/commit={batch}")
         return due
 
@@ -113,7 +135,7 @@ class CaptureTable:
         fs = self.spark._jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
         level, manifest = self.manifest()
         kept = manifest.collect()
-        used = {(r["generation"], r["bucket"]) for r in kept}
+        used = {(r["generation"], r["folder"]) for r in kept}
         through = min(r["through"] for r in kept) if kept and len(kept) == 1 << level else -1
         gone = []
         for status in fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/delta/batch=*")):

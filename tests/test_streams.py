@@ -60,6 +60,36 @@ def test_buckets_grow_with_the_table(spark, tmp_path):
     assert CaptureTable(spark, str(tmp_path / "none")).read().count() == 0
 
 
+def test_small_buckets_share_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("evidentia.streaming.table.FOLDERS", 4)
+    table = CaptureTable(spark, str(tmp_path / "t"), bucket_rows=2, first_level=5)
+    log = [(i, f"u{i % 200}", at(1 + i % 20), f"s{i % 3}") for i in range(400)]
+    more = [(1000 + i, f"u{i}", at(25), "new") for i in range(0, 200, 9)]
+    for batch, rows in enumerate((log, more, more[:3], more)):
+        table.append(spark.createDataFrame(rows, LOG), batch)
+        table.compact(batch)
+        folders = [os.listdir(f.path) for level in os.scandir(tmp_path / "t/base") for f in os.scandir(level.path)]
+        assert all(len([b for b in f if b.startswith("bucket=")]) <= 4 for f in folders)
+        seen = log + more * (batch > 0)
+        assert shown(table.read()) == shown(captures.fold(spark.createDataFrame(seen, LOG)))
+    level, manifest = table.manifest()
+    assert manifest.count() == 1 << level > 32
+    assert table.vacuum() > 0 and shown(table.read()) == shown(captures.fold(spark.createDataFrame(seen, LOG)))
+
+
+def test_a_delivery_is_as_many_files_as_it_needs(spark, sf, tmp_path, monkeypatch):
+    one = shown(streams.stream_capture_table(spark, sf))
+    events = sorted(map(tuple, streams.stream_change_events(spark, sf).collect()))
+    monkeypatch.setattr(streams, "_FILE_ROWS", 100)
+    streams._delivered(spark, sf, f"{tmp_path}/log")
+    files = files_of(f"{tmp_path}/log")
+    assert len(files) > 5 and len(files) % 5 == 0
+    assert shown(streams.stream_capture_table(spark, sf)) == one
+    assert sorted(map(tuple, streams.stream_change_events(spark, sf).collect())) == events
+    streams._land(spark.createDataFrame([(1, "a", at(1), "x")], LOG), f"{tmp_path}/few", 3)
+    assert len(files_of(f"{tmp_path}/few")) == 3
+
+
 def test_change_events(spark, sf, tmp_path):
     """In order, streamed events are the batch's; late and repeated fetches give none; an idle url is forgotten."""
     parts = [
