@@ -70,35 +70,43 @@ class PieceModel:
         Hashes find a piece, its letters confirm it.
         """
         n, length = codes.shape
-        prefix = np.zeros((n, length + 1), dtype=np.uint64)
+        across = np.ascontiguousarray(codes.T)  # a row for each place, so that all words are one long run
+        prefix = np.zeros((length + 1, n), dtype=np.uint64)
         for i in range(length):
-            prefix[:, i + 1] = prefix[:, i] * _BASE + codes[:, i].astype(np.uint64) + np.uint64(1)
+            prefix[i + 1] = prefix[i] * _BASE + across[i].astype(np.uint64) + np.uint64(1)
+        flat = across.ravel()
         found: list[list[np.ndarray]] = [[], [], [], []]  # end, size, row and piece of every hit; no piece is -1
-        spelt = np.ones((n, length), dtype=bool)
+        spelt = np.ones(length * n, dtype=bool)
         for size, (hashes, ids, letters) in self.by_length.items():
             if size > length:
                 break
-            h = prefix[:, size:] - prefix[:, : length + 1 - size] * np.uint64(pow(int(_BASE), size, 2**64))
-            rows, starts = np.nonzero(self.opening[size][h >> _TOP])  # most places are no piece and go here
-            h = h[rows, starts]
+            h = (prefix[size:] - prefix[: length + 1 - size] * np.uint64(pow(int(_BASE), size, 2**64))).ravel()
+            places = np.flatnonzero(self.opening[size].take((h >> _TOP).view(np.int64)))  # most places are no piece and go here
+            h = h[places]
             at = np.searchsorted(hashes, h)
             at[at == len(hashes)] = 0
             same = hashes[at] == h
-            rows, starts, at = rows[same], starts[same], at[same]
-            right = (letters[at] == codes[rows[:, None], starts[:, None] + np.arange(size)]).all(axis=1)
-            rows, starts, at = rows[right], starts[right], at[right]
+            places, at = places[same], at[same]
+            right = np.ones(len(places), dtype=bool)
+            for i in range(size):
+                right &= letters[at, i] == flat[places + i * n]
+            places, at = places[right], at[right]
             if size == 1:
-                spelt[rows, starts] = False
-            for column, values in zip(found, (starts + size, np.full(len(rows), size), rows, ids[at])):
+                spelt[places] = False
+            starts = places // n
+            for column, values in zip(found, (starts + size, np.full(len(places), size), places - starts * n, ids[at])):
                 column.append(values)
-        rows, starts = np.nonzero(spelt)
-        for column, values in zip(found, (starts + 1, np.zeros(len(rows), dtype=np.int64), rows, np.full(len(rows), -1))):
+        places = np.flatnonzero(spelt)
+        starts = places // n
+        for column, values in zip(found, (starts + 1, np.zeros(len(places), dtype=np.int64), places - starts * n, np.full(len(places), -1))):
             column.append(values)
         ends, sizes, rows, ids = map(np.concatenate, found)
         kind = ends * (self.longest + 1) + sizes
+        if (length + 1) * (self.longest + 1) < 1 << 16:
+            kind = kind.astype(np.uint16)  # sorted by radix
         order = np.argsort(kind, kind="stable")
         kind, rows, ids = kind[order], rows[order], ids[order]
-        cuts = [0, *(np.flatnonzero(np.diff(kind)) + 1).tolist(), len(kind)]
+        cuts = [0, *(np.flatnonzero(kind[1:] != kind[:-1]) + 1).tolist(), len(kind)]
         out = []
         for x, y in zip(cuts, cuts[1:]):
             end, size = divmod(int(kind[x]), self.longest + 1)
@@ -132,19 +140,25 @@ class PieceModel:
         alpha = np.full((length + 1, n), -np.inf)
         alpha[0] = 0.0
         for (start, end, rows, _), price in zip(edges, priced):
-            alpha[end, rows] = np.logaddexp(alpha[end, rows], alpha[start, rows] + price)
+            here = alpha[end]
+            here[rows] = np.logaddexp(here[rows], alpha[start][rows] + price)
         if weights is not None:
+            pieces, shares = [], []
             beta = np.full((length + 1, n), -np.inf)
             beta[length] = 0.0
             for (start, end, rows, ids), price in zip(reversed(edges), reversed(priced)):
-                through = beta[end, rows] + price
-                beta[start, rows] = np.logaddexp(beta[start, rows], through)
-                share = np.exp(alpha[start, rows] + through - alpha[length, rows]) * weights[rows]
+                through = beta[end][rows] + price
+                here = beta[start]
+                here[rows] = np.logaddexp(here[rows], through)
+                share = np.exp(alpha[start][rows] + through - alpha[length][rows]) * weights[rows]
                 if ids is not None:
-                    expected += np.bincount(ids, weights=share, minlength=len(expected))
+                    pieces.append(ids)
+                    shares.append(share)
                 else:
                     for c, s in zip(codes[rows, start].tolist(), share.tolist()):
                         np.add.at(expected, self.byte_ids[list(chr(c).encode("utf-8", "replace"))], s)
+            if pieces:
+                expected += np.bincount(np.concatenate(pieces), weights=np.concatenate(shares), minlength=len(expected))
         return alpha[length]
 
 

@@ -442,6 +442,19 @@ def test_a_hash_hit_is_confirmed_by_letters():
     assert math.exp(model.score(["ab"])[0][0]) == pytest.approx(0.25**5)  # the mark by its three bytes, then a and b
 
 
+def test_expected_counts_are_added_once_for_words_of_one_length(monkeypatch):
+    """Not an addition over the whole vocabulary for each edge."""
+    pieces = ["▁", "a", "b", "ab", "▁a", "ba", "bab"]
+    model = lattice.PieceModel(pieces, [0] * 256, np.log(np.full(7, 1 / 7)))
+    added, plain = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda x, *a, **b: added.append(len(x)) or plain(x, *a, **b))
+    words, weights = ["babab", "ababa", "aaaaa", "ab"], np.array([1.0, 2.0, 3.0, 4.0])
+    scores, expected = model.score(words, weights)
+    assert len(added) == 2
+    alone = [model.score([w], np.array([x])) for w, x in zip(words, weights)]
+    assert [s[0] for s, _ in alone] == list(scores) and sum(e for _, e in alone) == pytest.approx(expected)
+
+
 def test_repeated_rows_and_one_very_long_word(spark):
     rows = [(1, "ab " * 3), (1, "ab " * 3), (1, "ab"), (2, "xy" * 5_000), (None, None)]
     got = lattice.score_documents(docs_of(spark, rows), PIECES).collect()
