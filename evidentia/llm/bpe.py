@@ -86,15 +86,15 @@ def memo_of(tokenizer_path: str, lexicon_path: str | None = None, decoded: bool
     return Memo(vocabulary(tokenizer_path), Lexicon(lexicon_path) if lexicon_path else None, decoded)
 
 
-def portions(batch: pa.RecordBatch, column: int = 1) -> Iterator[tuple[pa.RecordBatch, list[list[str]]]]:
-    """Slices of a batch of about TOGETHER characters, and their texts' chunks."""
+def portions(batch: pa.RecordBatch, column: int = 1, together: int = TOGETHER) -> Iterator[tuple[pa.RecordBatch, list[list[str]]]]:
+    """Slices of a batch of about `together` characters, and their texts' chunks."""
     split: list[list[str]] = []
     first, size = 0, 0
     for k, value in enumerate(batch.column(column)):
         text = value.as_py()
         split.append(chunks(text))
         size += len(text)
-        if size >= TOGETHER:
+        if size >= together:
             yield batch.slice(first, k + 1 - first), split
             split, first, size = [], k + 1, 0
     if split:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidentia.llm.bpe import memo_of, portions
+from evidentia.llm.bpe import TOGETHER, memo_of, portions
 from evidentia.session import cut
 
 SEQUENCE = 2048
@@ -131,7 +131,7 @@ def solve_patterns(demand: np.ndarray) -> list[tuple[int, np.ndarray]]:
     return out + [(1, counts) for _, counts in open_]
 
 
-def pieces_of(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", end_id: int = 1, keep_ids: bool = False) -> DataFrame:
+def pieces_of(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", end_id: int = 1, keep_ids: bool = False, together: int = TOGETHER) -> DataFrame:
     """Cut every document's ids and the end id into full sequences and one remainder.
 
     (key, start, length, ids_crc32, doc_tokens[, ids]). The ids are the tokenizer's own; a worker keeps those of recent chunks.
@@ -141,7 +141,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: s
         memo = memo_of(tokenizer_path)
         end = end_id.to_bytes(4, "little")
         for batch in batches:
-            for part, split in portions(batch):
+            for part, split in portions(batch, together=together):
                 memo.learn(set().union(*split))
                 rows: list[list] = [[], [], [], [], [], []]
                 for k, chunks_ in enumerate(split):
@@ -216,10 +216,11 @@ def assign(pieces: DataFrame, key: str = "doc_id") -> DataFrame:
     )
 
 
-def pack(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", keep_ids: bool = False, together: int = TOGETHER) -> DataFrame:
     """Pack all documents into sequences of at most SEQUENCE tokens: one row per piece.
 
     Null text is an empty document (its end id alone); repeated rows and null keys are packed as they come;
     columns other than key and text are not read; an empty table gives an empty result.
+    `together` is how many characters a worker splits and merges at once: fewer take less memory and more time.
     """
-    return assign(cut(pieces_of(docs, tokenizer_path, key, text, keep_ids=keep_ids)), key)
+    return assign(cut(pieces_of(docs, tokenizer_path, key, text, keep_ids=keep_ids, together=together)), key)

@@ -159,3 +159,15 @@ def test_fused_decoding_equals_decode(spark):
     fused = {r.doc_id: (bytes(r.ids), r.decoded) for r in encode(docs, PATH, lexicon_words=8, decoded=True).collect()}
     apart = {r.doc_id: (bytes(r.ids), r.decoded) for r in decode(encode(docs, PATH, lexicon_words=8), PATH).collect()}
     assert fused == apart
+
+
+def test_smaller_portions_pack_the_same(spark, sf, monkeypatch):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(40)
+    rows = lambda pieces: sorted(tuple(r) for r in pieces.collect())
+    assert rows(packing.pieces_of(docs, corpus_pipeline.tokenizer_path(), together=1)) == rows(packing.pieces_of(docs, corpus_pipeline.tokenizer_path()))
+    asked = []
+    monkeypatch.setattr(corpus_pipeline, "pack", lambda *a, **b: asked.append(b["together"]))
+    corpus_pipeline.pack_documents(spark, docs, sf)
+    assert asked[0] < packing.TOGETHER
