@@ -114,6 +114,33 @@ def test_lines_meet_whatever_their_hub(spark, monkeypatch):
     assert got == {k: k % 2 for k in range(16)}
 
 
+def test_wide_blocks_are_parted(spark, monkeypatch):
+    """Lines around one common passage, all in one block: near ones are found, and few of the others are compared."""
+    monkeypatch.setattr(lines, "_crossed", lambda sketch: F.array(F.lit(1).cast("long")))
+    compared, same = [], lines._same
+
+    def counted(pairs):
+        compared.append(pairs.count())
+        return same(pairs)
+
+    monkeypatch.setattr(lines, "_same", counted)
+    rng = np.random.default_rng(19)
+    passage, rows = invented(rng, 40), []
+    for k in range(60):
+        first, last = invented(rng, 20), invented(rng, 20)
+        rows += [(2 * k, " ".join([*first, *passage, *last])), (2 * k + 1, " ".join([*first, *passage, *last[:-6], *invented(rng, 6)]))]
+    got = {r.doc_id: r.n_dropped for r in lines.dedup_lines(docs_of(spark, rows)).collect()}
+    assert got == {k: k % 2 for k in range(120)}
+    assert sum(compared) < 120 * 10, compared  # 7,140 pairs in all
+
+
+def test_similarity_counts_code_points(spark):
+    """A letter beyond the BMP is one letter, though two units in UTF-16."""
+    line = "abcdefghij" * 3
+    got = lines._same(spark.createDataFrame([(1, 2, line, "\U00010400" * 6 + line[6:]), (3, 4, line, "\U00010400" * 7 + line[7:])], "a long, b long, norm_a string, norm_b string")).collect()
+    assert {r.a: r.same for r in got} == {1: True, 3: False}
+
+
 def edit_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
