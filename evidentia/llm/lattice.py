@@ -25,6 +25,8 @@ WARM_ROUNDS, WARM_SHARE = 5, 8
 SMOOTH = 0.1
 #: Distinct words counted before a worker hands on what it has; bounds memory only.
 HELD_WORDS = 400_000
+#: Words scored together and letters of one length at once: many share the cost of a numpy call; both bound memory only.
+TOGETHER, LETTERS = 50_000, 200_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MARK = 0x2581  # the sign that opens a word
@@ -124,7 +126,7 @@ class PieceModel:
         order = np.argsort(lengths, kind="stable")
         cuts = np.flatnonzero(np.diff(lengths[order])) + 1
         for group in np.split(order, cuts):
-            step = max(1, 400_000 // (int(lengths[group[0]]) + 1) if len(group) else 1)
+            step = max(1, LETTERS // (int(lengths[group[0]]) + 1) if len(group) else 1)
             for at in range(0, len(group), step):
                 rows = group[at : at + step]
                 text = "".join(words[i] for i in rows)
@@ -210,6 +212,18 @@ def count_words(keyed: DataFrame) -> DataFrame:
     return rows.groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
 
 
+def _together(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about `most`."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= most:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _text(word: bytes) -> str:
     return word.decode("utf-8", "replace")
 
@@ -238,7 +252,7 @@ def fit(words: DataFrame, vocabulary_path: str, train_docs: int, gain: float = G
         def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             model = shape.value.weighted(shared.value)
             total, tokens, likelihood = np.zeros(len(model.logp)), 0.0, 0.0
-            for batch in batches:
+            for batch in _together(batches, TOGETHER):
                 c = batch.column(1).to_numpy().astype(float)
                 lp, got = model.score([_text(w) for w in batch.column(0).to_pylist()], c)
                 total += got
@@ -292,7 +306,7 @@ def score_documents(docs: DataFrame, vocabulary_path: str, key: str = "doc_id",
 
     def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in _together(batches, TOGETHER):
             got, _ = model.score([_text(w) for w in batch.column(0).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got / math.log(10))], ["word", "c", "n", "lp"])
 

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -530,3 +531,17 @@ def test_canonical_form(spark):
     texts = ["Straße", "ﬁ Ａ　b", "é", " a \n b "]
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(fingerprint.canonical(F.col("t"))).collect()]
     assert got == [re.sub(r"\s+", " ", unicodedata.normalize("NFKC", t).casefold()).strip() for t in texts]
+
+
+def test_words_are_scored_many_at_a_time():
+    """Small Arrow batches are scored as one, with the same scores and counts as by themselves."""
+    words = [f"word{k}" for k in range(95)] + ["é"] * 5
+    batches = [pa.RecordBatch.from_arrays([pa.array(words[x : x + 10])], ["word"]) for x in range(0, 100, 10)]
+    got = list(lattice._together(iter(batches), 40))
+    assert [b.num_rows for b in got] == [40, 40, 20] and [w for b in got for w in b.column(0).to_pylist()] == words
+    assert list(lattice._together(iter([]), 40)) == []
+    pieces, byte_ids, start = lattice.read_vocabulary(PIECES)
+    model = lattice.PieceModel(pieces, byte_ids, np.log(np.where(start > 0, start / start.sum(), 1.0)))
+    whole, counts = model.score(words, np.ones(100))
+    parts = [model.score(b.column(0).to_pylist(), np.ones(10)) for b in batches]
+    assert np.array_equal(whole, np.concatenate([lp for lp, _ in parts])) and np.allclose(counts, sum(c for _, c in parts))
