@@ -135,6 +135,20 @@ def test_wide_blocks_are_parted(spark, monkeypatch):
     assert sum(compared) < 120 * 10, compared  # 7,140 pairs in all
 
 
+def test_wide_blocks_lose_no_pair(spark, monkeypatch):
+    """Lines around a passage, all in one block, with copies that change a letter of every other word: no word pair but the passage's is left, and each copy is found."""
+    monkeypatch.setattr(lines, "_crossed", lambda sketch: F.array(F.lit(1).cast("long")))
+    monkeypatch.setattr(lines, "DEALT", 7, raising=False)
+    rng = np.random.default_rng(23)
+    passage, rows = invented(rng, 10), []
+    for k in range(20):
+        words = [*invented(rng, 25), *passage, *invented(rng, 25)]
+        changed = [w if 25 <= i < 35 or i % 2 else "é" + w[1:] for i, w in enumerate(words)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(changed))]
+    got = {r.doc_id: r.n_dropped for r in lines.dedup_lines(docs_of(spark, rows)).collect()}
+    assert got == {k: k % 2 for k in range(40)}
+
+
 def test_similarity_counts_code_points(spark):
     """A letter beyond the BMP is one letter, though two units in UTF-16."""
     line = "abcdefghij" * 3
