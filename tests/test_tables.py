@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from evidentia.plans import models
 from evidentia.sources import tables
 
 PAGE = """<table><tr><td><b>Fire</b> <a href="m.cgi?id=12">Cat No. 12</a> <i>/ 1987 / 4 Players</i></td></tr>
@@ -65,3 +66,12 @@ def test_no_table_of_pages_is_broadcast(spark):
     assert [r.outcome for r in job.collect()] == ["ok"]
     plan = job._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_every_machine_page_is_read(spark, sf):
+    """All stored bytes are there and read: only pages that do not say where theirs are have none."""
+    _, blobs = models._machine_pages(spark, sf)
+    assert blobs.count() == spark.read.parquet(f"{sf}/part.parquet").count()
+    got = models.model_pages(spark, sf).select("outcome", "unknown", (F.col("page_id") % 12).alias("form"))
+    assert {(r.outcome, r.unknown) for r in got.where("form = 6").collect()} == {("ok", "Cabinet Colour")}
+    assert {r.form for r in got.where("outcome = 'no blob'").collect()} == {10}
