@@ -18,6 +18,8 @@ ANCHOR_ROWS, CELL_ROWS, GROUPS, FOCUS = 256, 1024, 16, 6
 STEPS = 4
 #: A part's generation is the power of this that its number lies under; each generation tightens the next one's thresholds.
 FANOUT = 8
+#: Shares that a generation's cells are dealt over at most, and anchor blocks that one share meets at once.
+SHARES, TOGETHER = 128, 64
 #: Components are held within this, so that a hundred times any score of 2^13 components fits a long.
 REACH = float(1 << 21)
 _LEAST, _MOST = -(1 << 62), 1 << 62
@@ -145,26 +147,29 @@ def _search(anchors: DataFrame, bounds: DataFrame, cells: DataFrame, sizes: dict
     """(anchor, tag, other, score, rank): the k best rows of every bound (anchor, tag, low, high), ties by smaller key.
 
     `same` asks for rows of the anchor's label, otherwise for rows of any other. The cells come in generations of growing number; after
-    each one a bound that has k rows is raised to the k-th score, which narrows the ranges of the next.
+    each one a bound that has k rows is raised to the k-th score, which narrows the ranges of the next. Cells are dealt over shares, and every share gets
+    each anchor block; cells travel once for TOGETHER blocks, and neither side is ever whole on the driver.
     """
     spark, best = anchors.sparkSession, None
     firsts, total = {}, 0
     for g, n in sorted(sizes.items()):
         firsts[g], total = total, total + max(1, -(-n // ANCHOR_ROWS))
     number = reduce(lambda c, g: c.when(F.col("group") == g, F.lit(firsts[g]) + F.pmod(F.xxhash64("id"), F.lit(max(1, -(-sizes[g] // ANCHOR_ROWS))))), firsts, F.when(F.lit(False), 0))
-    own = reduce(lambda c, g: c.when(F.col("group") == g, F.sequence(F.lit(firsts[g]), F.lit(firsts[g] + max(1, -(-sizes[g] // ANCHOR_ROWS)) - 1))), firsts, F.when(F.lit(False), F.array(F.lit(0))))
+    columns = max(1, -(-total // TOGETHER))
     for generation, n_cells in sorted(generations.items()):
         now = bounds
         if best is not None:
             held = best.groupBy("anchor", "tag").agg(F.count("*").alias("n"), F.min("score").alias("kth"))
-            now = bounds.join(held, ["anchor", "tag"], "left").select("anchor", "tag", F.when(F.col("n") >= k, F.greatest("low", "kth")).otherwise(F.col("low")).alias("low"), "high")
+            now = bounds.join(held.hint("merge"), ["anchor", "tag"], "left").select("anchor", "tag", F.when(F.col("n") >= k, F.greatest("low", "kth")).otherwise(F.col("low")).alias("low"), "high")
         listed = now.groupBy(F.col("anchor").alias("id")).agg(F.collect_list(F.struct("tag", "low", "high")).alias("bounds"))
-        salts = max(1, min(n_cells, 512))
-        blocks = anchors.join(listed, "id").groupBy(number.cast("int").alias("block")).agg(F.collect_list(F.struct("id", "label", "v", "bounds")).alias("anchors"))
-        blocks = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        met = own if same else F.sequence(F.lit(0), F.lit(total - 1))
-        some = cells.where(F.col("generation") == generation).withColumn("block", F.explode(met.cast("array<int>"))).withColumn("salt", F.pmod(F.xxhash64("group", "part", "ids"), F.lit(salts)).cast("int"))
-        pairs = some.join(blocks, ["block", "salt"]).select("anchors", "ids", "labels", "matrix", "lists", "longest", "rows")
+        shares = max(1, min(n_cells, SHARES))
+        at = ["group", "share", "column"] if same else ["share", "column"]
+        blocks = anchors.join(listed.hint("merge"), "id").groupBy("group", number.cast("int").alias("block")).agg(F.collect_list(F.struct("id", "label", "v", "bounds")).alias("anchors"))
+        blocks = blocks.withColumn("column", F.col("block") % columns).withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))).select(*at, "anchors")
+        some = cells.where(F.col("generation") == generation).withColumn("share", F.pmod(F.xxhash64("group", "part", "ids"), F.lit(shares)).cast("int"))
+        some = some.withColumn("column", F.explode(F.sequence(F.lit(0), F.lit(columns - 1)))).select(*at, "ids", "labels", "matrix", "lists", "longest", "rows")
+        # a block stands in every share, which no estimate knows of: left to Spark, all of them would be broadcast by way of the driver
+        pairs = some.join(blocks.hint("merge"), at).select("anchors", "ids", "labels", "matrix", "lists", "longest", "rows")
         found = pairs.mapInArrow(_mine(k, same), "anchor long, tag long, other long, score long")
         best = cut(_best(found if best is None else best.drop("rank").unionByName(found), k))
     return best if best is not None else spark.createDataFrame([], "anchor long, tag long, other long, score long, rank int")
@@ -222,6 +227,6 @@ def hard_negatives(
     high = F.expr(f"({band[1]}L * positive_score - pmod({band[1]}L * positive_score, 100L)) div 100L")
     bounds = positives.select("anchor", "tag", low.alias("low"), high.alias("high")).where("low <= high")
     found = _search(anchors, bounds, cells, sizes, generations, n_negatives, False)
-    return found.join(positives, ["anchor", "tag"]).select(
+    return found.join(positives.hint("merge"), ["anchor", "tag"]).select(
         F.col("anchor").alias("anchor_id"), F.col("tag").alias("positive_id"), "rank", F.col("other").alias("negative_id"), "positive_score", F.col("score").alias("negative_score")
     )

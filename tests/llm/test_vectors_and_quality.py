@@ -56,6 +56,22 @@ def test_negatives_against_brute_force(spark, monkeypatch):
     assert negatives.hard_negatives(vectors_of(spark, rows).limit(0)).count() == 0
 
 
+def test_negatives_broadcast_no_block(spark, monkeypatch):
+    """Cells meet blocks by shuffle, several shares and columns give what one gives, and nothing is broadcast."""
+    for name, value in {"CELL_ROWS": 8, "FANOUT": 2, "ANCHOR_ROWS": 2, "TOGETHER": 2}.items():
+        monkeypatch.setattr(negatives, name, value, raising=False)
+    plans, cut = [], negatives.cut
+    monkeypatch.setattr(negatives, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    rng = np.random.default_rng(29)
+    rows = [(k, [float(x) for x in rng.normal(size=6) * (1 + k % 3)], k % 4) for k in range(600)]
+    is_anchor = F.col("id") % 20 == 0
+    got = negatives.hard_negatives(vectors_of(spark, rows), is_anchor=is_anchor).collect()
+    assert plans and not any("Broadcast" in p for p in plans)
+    monkeypatch.setattr(negatives, "ANCHOR_ROWS", 256)
+    monkeypatch.setattr(negatives, "CELL_ROWS", 1024)
+    assert sorted(got) == sorted(negatives.hard_negatives(vectors_of(spark, rows), is_anchor=is_anchor).collect()) != []
+
+
 def test_negatives_ranges_narrow(spark):
     """With a high score to beat only rows inside every feasible range are verified, and no due row is among the others."""
     rng = np.random.default_rng(5)
