@@ -2,7 +2,11 @@
 
 from collections import Counter
 
+import numpy as np
+from pyspark.sql import functions as F
+
 import corpus_pipeline
+from evidentia.llm import lines
 
 
 def test_pipeline(spark, sf):
@@ -61,3 +65,16 @@ def test_stages_on_odd_rows(spark, sf):
         empty = stage(spark, docs.limit(0), sf)
         assert empty.count() == 0
         assert name == "packing" or empty.columns == docs.columns
+
+
+def test_line_stage_loses_no_pair(spark, sf, monkeypatch):
+    """Forty lines around one short passage, in one block: each copy with a letter of every other word changed goes, though they share no other word pair."""
+    monkeypatch.setattr(lines, "_crossed", lambda sketch: F.array(F.lit(1).cast("long")))
+    rng = np.random.default_rng(31)
+    words = lambda n: ["".join(chr(97 + int(c)) for c in rng.integers(0, 26, int(rng.integers(3, 10)))) for _ in range(n)]
+    passage, rows = words(10), []
+    for k in range(20):
+        line = [*words(25), *passage, *words(25)]
+        rows += [(2 * k, " ".join(line)), (2 * k + 1, " ".join(w if 25 <= i < 35 or i % 2 else "é" + w[1:] for i, w in enumerate(line)))]
+    left = corpus_pipeline.drop_repeated_lines(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf).collect()
+    assert {r.doc_id: r.text for r in left} == {k: "" if k % 2 else t for k, t in rows}
